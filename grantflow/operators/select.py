@@ -143,6 +143,10 @@ def match_labels(df: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
     return df.where(conj(conds))
 
 
+def _without_labels(pattern: str) -> Column:
+    return F.map_filter("labels", lambda k, _: ~k.rlike(f"^(?:{pattern})$"))
+
+
 def relabel(df: DataFrame, rules: list[dict]) -> DataFrame:
     """Apply relabelling steps in order: ``keep``, ``copy`` and ``drop`` (labels by pattern)."""
     for r in rules:
@@ -151,7 +155,7 @@ def relabel(df: DataFrame, rules: list[dict]) -> DataFrame:
             df = df.where(source.rlike(f"^(?:{r['regex']})$"))
         elif r["action"] == "copy":
             value = F.col("labels")[r["source"]]
-            rest = F.map_filter("labels", lambda k, _, t=r["target"]: k != F.lit(t))
+            rest = _without_labels(r["target"])
             df = df.withColumn(
                 "labels",
                 F.when(
@@ -159,7 +163,7 @@ def relabel(df: DataFrame, rules: list[dict]) -> DataFrame:
                 ).otherwise(F.col("labels")),
             )
         elif r["action"] == "drop":
-            df = df.withColumn("labels", F.map_filter("labels", lambda k, _, p=r["regex"]: ~k.rlike(f"^(?:{p})$")))
+            df = df.withColumn("labels", _without_labels(r["regex"]))
         else:
             raise ValueError(f"unknown action {r['action']}")
     return df

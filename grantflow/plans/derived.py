@@ -181,7 +181,7 @@ log AS (
          't'||(CAST(json_extract(props, '$.k') AS BIGINT) % 5) AS tenant_id,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd'
                          WHEN 'click' THEN 'u' WHEN 'purchase' THEN 'u' END AS op,
-         epoch_ms(ts) AS source_ms
+         epoch_us(ts) // 1000 AS source_ms
   FROM events
 )"""
 
@@ -242,7 +242,7 @@ env AS (
          CASE WHEN k % 10 = 0 THEN 'member' ELSE '' END AS userset_relation, event_id AS created_xid,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
          CASE event_type WHEN 'signup' THEN 'CREATE' WHEN 'view' THEN 'READ' WHEN 'error' THEN 'DELETE'
-                         ELSE 'UPDATE' END AS operation, epoch_ms(ts) AS ts_ms
+                         ELSE 'UPDATE' END AS operation, epoch_us(ts) // 1000 AS ts_ms
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
 )"""
 

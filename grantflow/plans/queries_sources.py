@@ -85,7 +85,7 @@ FLAT_SQL = f"""
 flat AS (
   SELECT event_id AS key, 'w'||user_id AS id, 't'||(k % 5) AS tenant_id, {OP_SQL} AS op,
          CASE event_type WHEN 'view' THEN 'roles' ELSE 'workspaces' END AS tbl, event_id AS lsn,
-         epoch_ms(ts) AS source_ms, event_type = 'error' AS deleted, event_type = 'purchase' AND value > 200 AS bad
+         epoch_us(ts) // 1000 AS source_ms, event_type = 'error' AS deleted, event_type = 'purchase' AND value > 200 AS bad
   FROM {EV_SQL}
 )"""
 
@@ -119,7 +119,7 @@ def s04(spark, sf):
 @query(
     "s05_unwrap_change",
     f"""SELECT 'w'||user_id AS id, k AS tenant, {OP_SQL} AS __op, 'workspaces' AS __table, event_id AS __lsn,
-    epoch_ms(ts) AS __source_ts_ms, CASE event_type WHEN 'error' THEN 'true' ELSE 'false' END AS __deleted
+    epoch_us(ts) // 1000 AS __source_ts_ms, CASE event_type WHEN 'error' THEN 'true' ELSE 'false' END AS __deleted
     FROM {EV_SQL}""",
 )
 def s05(spark, sf):

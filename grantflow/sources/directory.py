@@ -12,18 +12,29 @@ PRINCIPAL = T.StructType(
     + [T.StructField("is_org_admin", T.BooleanType()), T.StructField("is_active", T.BooleanType())]
     + [T.StructField("groups", _REF), T.StructField("roles", _REF)]
 )
-GROUP_FIELDS = "uuid string, name string, description string, platform_default boolean, system boolean"
+
+
+def _fields(**kinds) -> list[T.StructField]:
+    return [T.StructField(n, k()) for n, k in kinds.items()]
+
+
+_GROUP = _fields(
+    uuid=T.StringType, name=T.StringType, description=T.StringType, platform_default=T.BooleanType, system=T.BooleanType
+)
+_PERMISSIONS = T.StructField("permissions", T.ArrayType(T.StringType()))
 DIRECTORY = T.StructType(
     [
         T.StructField("principals", T.ArrayType(PRINCIPAL)),
-        T.StructField("groups", T.ArrayType(T.StructType.fromDDL(GROUP_FIELDS))),
-        T.StructField("roles", T.ArrayType(T.StructType.fromDDL(GROUP_FIELDS + ", permissions array<string>"))),
+        T.StructField("groups", T.ArrayType(T.StructType(_GROUP))),
+        T.StructField("roles", T.ArrayType(T.StructType([*_GROUP, _PERMISSIONS]))),
     ]
 )
-ROLE_CONFIG = T.StructType.fromDDL(
-    "roles array<struct<name: string, description: string, system: boolean, platform_default: boolean, "
-    "admin_default: boolean, version: int, access: array<struct<permission: string>>>>"
-)
+_ACCESS = T.StructField("access", T.ArrayType(T.StructType(_fields(permission=T.StringType))))
+_ROLE = _fields(
+    name=T.StringType, description=T.StringType, system=T.BooleanType, platform_default=T.BooleanType,
+    admin_default=T.BooleanType, version=T.IntegerType,
+)
+ROLE_CONFIG = T.StructType([T.StructField("roles", T.ArrayType(T.StructType([*_ROLE, _ACCESS])))])
 VERB = "array<struct<verb: string, description: string, requires: array<string>>>"
 
 
