@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.paging import paged_lists
 from ..functions.skew import spread_join
 from .closure import closure_from
 
@@ -18,22 +19,13 @@ def fresh(df: DataFrame, at, ttl: int = TTL["perm"]) -> DataFrame:
 
 
 def subjects_list(tuples: DataFrame, page: int = 10_000) -> DataFrame:
-    """Sorted subject list per ``resource#relation`` as pages ``(res_type, res_id, relation, page, pages, subjects)``.
-
-    A list of up to ``page`` subjects is one page. A longer one is divided by subject hash into pages of about
-    that size, so no single row or task holds an unbounded list. Nothing is left out.
-    """
+    """Sorted subject list per ``resource#relation``: ``(res_type, res_id, relation, page, pages, subjects)``."""
     key = ["res_type", "res_id", "relation"]
     text = F.concat(
         F.col("sub_type"), F.lit(":"), F.col("sub_id"),
         F.when(F.col("sub_rel") == "", "").otherwise(F.concat(F.lit("#"), "sub_rel")),
     )
-    rows = tuples.select(*key, text.alias("subject")).distinct()
-    sizes = rows.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(page)).alias("pages"))
-    many = sizes.where("pages > 1")
-    paged = rows.join(many, key, "left").withColumn("pages", F.coalesce("pages", F.lit(1).cast("long")))
-    paged = paged.withColumn("page", F.when(F.col("pages") > 1, F.pmod(F.xxhash64("subject"), "pages")).otherwise(0))
-    return paged.groupBy(*key, "page", "pages").agg(F.sort_array(F.collect_list("subject")).alias("subjects"))
+    return paged_lists(tuples.select(*key, text.alias("subject")), key, "subject", "subjects", page)
 
 
 def invalidate_rel(decisions: DataFrame, changes: DataFrame) -> DataFrame:

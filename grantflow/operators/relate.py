@@ -27,12 +27,14 @@ def role_events(df: DataFrame) -> DataFrame:
     return df.groupBy("op", outcome.alias("outcome")).agg(F.count("*").alias("events"))
 
 
-def resource_tuples(df: DataFrame, namespace: str, name: str, relation: str = "t_workspace") -> DataFrame:
-    """Resource changes ``(id, workspace_id, resolved)`` to placement tuples with ``sign``."""
+def resource_tuples(
+    df: DataFrame, namespace: str, name: str, relation: str = "t_workspace", *, keep: list[str] | None = None
+) -> DataFrame:
+    """Resource changes ``(id, workspace_id, resolved)`` to placement tuples with ``sign``; ``keep`` adds columns."""
     return df.where(F.col("resolved").isin("created", "updated", "deleted")).select(
         F.lit(f"{namespace}/{name}").alias("res_type"), F.col("id").alias("res_id"), F.lit(relation).alias("relation"),
         F.lit("rbac/workspace").alias("sub_type"), F.col("workspace_id").alias("sub_id"), F.lit("").alias("sub_rel"),
-        F.when(F.col("resolved") == "deleted", -1).otherwise(1).alias("sign"),
+        F.when(F.col("resolved") == "deleted", -1).otherwise(1).alias("sign"), *(keep or []),
     )
 
 

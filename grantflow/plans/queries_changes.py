@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.text import decision_key, relation_key, schema_key
-from ..model import TUPLE_COLS, TUPLES
+from ..model import TUPLE_COLS
 from ..operators import cache as ca
 from ..operators import relate as re
 from ..operators import writes as wr
@@ -248,7 +248,7 @@ def c05(spark, sf):
 )
 def c06(spark, sf):
     source = jobs.read_event_stream(spark, cut_table(messages(spark, sf)).path)
-    target = jobs.TupleTable(spark, scratch(spark, "tuples"))
+    target = jobs.workspace_table(spark, scratch(spark, "tuples"))
     jobs.workspace_stream(source, target, scratch(spark, "state")).awaitTermination()
     return jobs.current_tuples(target).select("res_id", "sub_id")
 
@@ -280,17 +280,14 @@ def c08(spark, sf):
     )
     path = cut_table(rows).path
     stream = spark.readStream.schema(rows.schema).parquet(path)
-    target = jobs.TupleTable(spark, scratch(spark, "tuples"))
+    target = jobs.update_table(spark, scratch(spark, "tuples"))
 
     def second_outbox(batch):
-        seq = batch.select("id", "seq")
-        placed = re.resource_tuples(batch, "hbi", "host")
-        return placed.join(seq, placed.res_id == seq.id).select(
-            *TUPLE_COLS, F.when(F.col("sign") < 0, "DELETE").otherwise("TOUCH").alias("op"), "seq"
-        )
+        op = F.when(F.col("sign") < 0, "DELETE").otherwise("TOUCH").alias("op")
+        return re.resource_tuples(batch, "hbi", "host", keep=["seq"]).select(*TUPLE_COLS, op, "seq")
 
-    jobs.two_stage(stream, scratch(spark, "resources"), target, TUPLES, scratch(spark, "state"), second_outbox)
-    return target.read(TUPLES).select("res_id", "sub_id")
+    jobs.two_stage(stream, scratch(spark, "resources"), target, scratch(spark, "state"), second_outbox)
+    return jobs.live_tuples(target).select("res_id", "sub_id")
 
 
 @query(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..model import TUPLE_COLS
 from ..operators.relate import dispatch, latest_state, workspace_tuples
-from ..operators.writes import fold_updates
 from ..sources.cdc import decode_flat_cdc
 
 EVENT = T.StructType(
@@ -46,40 +46,51 @@ def read_event_stream(spark: SparkSession, source: str, *, fmt: str = "parquet",
     return spark.readStream.schema(EVENT).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(source)
 
 
-class TupleTable:
-    """Versioned parquet folders ``v=<batch>`` holding the current tuples; a batch is applied at most once.
+class ChangeTable:
+    """Parquet folders ``batch=<id>`` of keyed changes, newest order value wins on reading.
 
-    Each micro-batch reads the newest version and writes the next; the version number is the batch id plus one,
-    so a replayed batch finds its version written and is skipped. A version counts once its ``_SUCCESS`` exists.
+    A micro-batch only writes its own folder, so its cost does not grow with the table. A replayed batch
+    overwrites the folder it wrote before, so every batch counts once. ``compact`` folds old folders into one
+    ``base=<id>`` that later reads start from.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: str):
+        self.spark, self.path, self.schema, self.keys, self.order = spark, path, schema, keys, order
 
-    def _fs(self):
+    def _folders(self, prefix: str) -> dict[int, str]:
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def newest(self) -> int | None:
-        root, fs, jvm = self._fs()
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(root):
-            return None
-        found = []
+            return {}
+        done = {}
         for s in fs.listStatus(root):
             name = s.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")):
-                found.append(int(name[2:]))
-        return max(found, default=None)
-
-    def read(self, schema: T.StructType, version: int | None = None) -> DataFrame:
-        v = self.newest() if version is None else version
-        if v is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v={v}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+            if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")):
+                done[int(name[len(prefix):])] = f"{self.path}/{name}"
+        return done
+
+    def put(self, changes: DataFrame, batch_id: int) -> None:
+        """Write the newest change per key of one micro-batch."""
+        folded = latest_state(changes.select(*self.schema.names), self.keys, order=self.order, drop_deleted=False)
+        folded.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        """Newest change per key, deletes included."""
+        bases = self._folders("base=")
+        start = max(bases, default=-1)
+        paths = [bases[start]] if bases else []
+        paths += [p for b, p in sorted(self._folders("batch=").items()) if b > start]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*paths)
+        return latest_state(rows, self.keys, order=self.order, drop_deleted=False).select(*self.schema.names)
+
+    def compact(self) -> None:
+        """Fold everything written so far into a new base."""
+        newest = max(self._folders("batch="), default=None)
+        if newest is not None and newest > max(self._folders("base="), default=-1):
+            self.read().write.mode("overwrite").parquet(f"{self.path}/base={newest}")
 
 
 STATE = T.StructType(
@@ -87,67 +98,75 @@ STATE = T.StructType(
 )
 
 
+def workspace_table(spark: SparkSession, path: str) -> ChangeTable:
+    """Newest image per workspace with its last LSN."""
+    return ChangeTable(spark, path, STATE, ["id"], "lsn")
+
+
+def update_table(spark: SparkSession, path: str) -> ChangeTable:
+    """Last operation per tuple."""
+    fields = [T.StructField(c, T.StringType()) for c in [*TUPLE_COLS, "op"]]
+    return ChangeTable(spark, path, T.StructType([*fields, T.StructField("seq", T.LongType())]), TUPLE_COLS, "seq")
+
+
+def _run(stream: DataFrame, apply, checkpoint: str):
+    return (
+        stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def workspace_stream(
-    events: DataFrame, table: TupleTable, checkpoint: str, *, on_bad: Callable[[DataFrame, int], None] | None = None
+    events: DataFrame, table: ChangeTable, checkpoint: str, *, on_bad: Callable[[DataFrame, int], None] | None = None
 ):
     """Start the flow: flattened change messages to the newest image per workspace.
 
-    The table keeps one row per workspace with its last LSN, so duplicates and late messages cannot bring back
-    an older parent, and an update replaces the previous parent. ``current_tuples`` turns it into tuples.
-    Malformed messages go to ``on_bad``. A failing batch stops the query and is retried from the checkpoint.
+    Duplicates and late messages cannot bring back an older parent, and an update replaces the previous parent.
+    ``current_tuples`` turns the table into tuples. Malformed messages go to ``on_bad``. A failing batch stops
+    the query and is retried from the checkpoint, so nothing is skipped.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if (table.newest() or 0) > batch_id:
-            return
         good, bad = decode_flat_cdc(batch.select("key", "value"))
         if on_bad is not None:
             on_bad(bad, batch_id)
-        fresh = dispatch(good).where("route in ('workspace_create', 'workspace_update', 'workspace_delete')")
-        old = table.read(STATE)
-        both = old.unionByName(fresh.where("coalesce(id, '') <> ''").select("id", "tenant_id", "op", "lsn"))
-        table.write(latest_state(both, ["id"], drop_deleted=False).select(*STATE.names), batch_id + 1)
+        routed = dispatch(good).where("route like 'workspace_%' and coalesce(id, '') <> ''")
+        table.put(routed.select(*STATE.names), batch_id)
 
-    return events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _run(events, apply, checkpoint)
 
 
-def current_tuples(table: TupleTable) -> DataFrame:
+def current_tuples(table: ChangeTable) -> DataFrame:
     """Tuples of the live workspaces in the table."""
-    return workspace_tuples(table.read(STATE).where("op <> 'd'")).drop("sign")
+    return workspace_tuples(table.read().where("op <> 'd'")).drop("sign")
 
 
-def tuple_stream(updates: DataFrame, table: TupleTable, schema: T.StructType, checkpoint: str):
-    """Apply ``(tuple columns, op, seq)`` updates from a stream: last operation per tuple wins, at most once."""
+def tuple_stream(updates: DataFrame, table: ChangeTable, checkpoint: str):
+    """Apply ``(tuple columns, op, seq)`` updates from a stream; the last operation per tuple wins."""
+    return _run(updates, lambda batch, batch_id: table.put(batch, batch_id), checkpoint)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        if (table.newest() or 0) > batch_id:
-            return
-        table.write(fold_updates(table.read(schema), batch), batch_id + 1)
 
-    return updates.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def live_tuples(table: ChangeTable) -> DataFrame:
+    """Tuples whose last operation is no delete."""
+    return table.read().where("op <> 'DELETE'").select(*TUPLE_COLS)
 
 
 def two_stage(
-    resources: DataFrame, resource_path: str, table: TupleTable, schema: T.StructType, checkpoint: str, to_updates,
+    resources: DataFrame, resource_path: str, table: ChangeTable, checkpoint: str,
+    to_updates: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Resource outbox to the resource table and a second outbox, then that outbox to tuples.
 
     Both stages are micro-batch queries with their own checkpoint; the second reads what the first appended.
     """
-    spark = resources.sparkSession
     outbox = f"{resource_path}/outbox"
 
     def first(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{resource_path}/rows/batch={batch_id}")
         to_updates(batch).write.mode("overwrite").parquet(f"{outbox}/batch={batch_id}")
 
-    one = resources.writeStream.foreachBatch(first).option("checkpointLocation", f"{checkpoint}/one")
-    one.trigger(availableNow=True).start().awaitTermination()
-    update_schema = T.StructType(
-        [*schema.fields, T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())]
-    )
-    second = spark.readStream.schema(update_schema).parquet(f"{outbox}/batch=*")
-    tuple_stream(second, table, schema, f"{checkpoint}/two").awaitTermination()
+    _run(resources, first, f"{checkpoint}/one").awaitTermination()
+    second = resources.sparkSession.readStream.schema(table.schema).parquet(f"{outbox}/batch=*")
+    tuple_stream(second, table, f"{checkpoint}/two").awaitTermination()
 
 
 def dedupe_stream(events: DataFrame, keys: list[str], *, time: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
