@@ -341,8 +341,8 @@ def c11(spark, sf):
     "c12_hop_latency",
     """WITH d AS (SELECT o_orderpriority AS stage, date_diff('day', o_orderdate, s) * 86400000 AS took FROM orders
       JOIN (SELECT l_orderkey, min(l_shipdate) AS s FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey)
-    SELECT stage, count(*) AS events, avg(took) AS mean_ms, quantile_cont(took, 0.5) AS p50_ms,
-    quantile_cont(took, 0.95) AS p95_ms, quantile_cont(took, 0.99) AS p99_ms FROM d GROUP BY stage""",
+    SELECT stage, count(*) AS events, round(avg(took)) AS mean_ms, round(quantile_cont(took, 0.5)) AS p50_ms,
+    round(quantile_cont(took, 0.95)) AS p95_ms, round(quantile_cont(took, 0.99)) AS p99_ms FROM d GROUP BY stage""",
 )
 def c12(spark, sf):
     first = table(spark, sf, "orders").select(
@@ -352,7 +352,8 @@ def c12(spark, sf):
     second = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("event_id")).agg(
         F.unix_millis(F.min("l_shipdate").cast("timestamp")).alias("at_ms")
     )
-    return re.hop_latency(first, second, ["stage"])
+    out = re.hop_latency(first, second, ["stage"])
+    return out.withColumns({c: F.round(c, 0) for c in ("mean_ms", "p50_ms", "p95_ms", "p99_ms")})
 
 
 @query(
