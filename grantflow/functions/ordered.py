@@ -77,3 +77,37 @@ def with_running(
         out = out.withColumn(name, F.coalesce(i + c, i, c) if kind == "sum" else F.greatest(i, c))
     drop = [f"_{p}_{n}" for n in outs for p in "xic"]
     return out.drop("_chunk", *drop)
+
+
+def exact_percentiles(
+    df: DataFrame, keys: list[str], value: str, outs: dict[str, float], chunk: Column
+) -> DataFrame:
+    """Exact percentiles with linear interpolation per key: ``outs = {name: fraction}``.
+
+    Equal values are counted map-side first; ranks come from running counts over chunks of the value range, so
+    a key with most of the rows is neither one task nor one in-memory table. ``chunk`` is an expression of
+    ``value``. Null values are ignored.
+    """
+    tag = [*keys, "_all"]
+    counts = (
+        df.where(F.col(value).isNotNull()).withColumn("_all", F.lit(1))
+        .groupBy(*tag, value).agg(F.count("*").alias("_n"))
+    )
+    totals = counts.groupBy(*tag).agg(F.sum("_n").alias("_total"))
+    ranked = with_running(counts, tag, [value], {"_upto": ("sum", F.col("_n"))}, chunk).join(totals, tag)
+
+    def at(position: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > position, F.col(value)))
+
+    aggs = []
+    for name, q in outs.items():
+        place = F.lit(q) * (F.col("_total") - 1)
+        aggs += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}"),
+                 F.max(place - F.floor(place)).alias(f"_f_{name}")]
+    picked = ranked.groupBy(*tag).agg(*aggs)
+    return picked.select(
+        *keys,
+        *[
+            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in outs
+        ],
+    )

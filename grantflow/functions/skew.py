@@ -15,6 +15,11 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; no job is run. It is an upper bound for scans, filters and unions."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows: int, share: float) -> DataFrame:
     """Keys holding at least ``share`` of ``rows``. There are at most ``1/share`` of them."""
     return df.groupBy(*keys).count().filter(F.col("count") >= F.lit(max(1.0, rows * share))).select(*keys)
@@ -30,15 +35,19 @@ def spread_join(
     share: float = 0.01,
     ways: int = 64,
     min_rows: int = 5_000_000,
+    min_bytes: int = 512 * 1024 * 1024,
 ) -> DataFrame:
     """Equi-join where single keys of ``big`` may hold a large share of its rows.
 
     Rows of hot keys are spread over ``ways`` salts and the matching rows of ``other`` are repeated once per
     salt, so a hot key is worked on by many tasks. Other keys join as usual. Below ``min_rows`` a plain join
-    is used. The list of hot keys has at most ``1/share`` rows, which bounds its broadcast.
+    is used; when ``rows`` is not given and the estimated size is below ``min_bytes``, so is it, without a
+    count. The list of hot keys has at most ``1/share`` rows, which bounds its broadcast.
     ``how`` may be inner, left, left_semi or left_anti (``big`` is the left side).
     """
     if rows is None:
+        if estimated_bytes(big) < min_bytes:
+            return big.join(other, on, how)
         rows = big.count()
     if rows < min_rows:
         return big.join(other, on, how)

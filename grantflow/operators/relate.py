@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordered import block_chunk, exact_percentiles
 from ..functions.skew import spread_join
 from ..model import TUPLE_COLS
 
@@ -92,12 +93,13 @@ def hop_latency(first: DataFrame, second: DataFrame, by: list[str] | None = None
     """Latency between two stages ``(event_id, at_ms)``: count and exact percentiles of the difference in ms."""
     a = first.withColumnRenamed("at_ms", "start_ms")
     b = second.select("event_id", F.col("at_ms").alias("end_ms"))
-    took = spread_join(a, b, ["event_id"]).withColumn("took", F.col("end_ms") - F.col("start_ms"))
-    return took.groupBy(*(by or [])).agg(
-        F.count("*").alias("events"), F.avg("took").alias("mean_ms"),
-        F.percentile("took", 0.5).alias("p50_ms"), F.percentile("took", 0.95).alias("p95_ms"),
-        F.percentile("took", 0.99).alias("p99_ms"),
+    keys = by or []
+    took = spread_join(a, b, ["event_id"]).withColumn("took", F.col("end_ms") - F.col("start_ms")).select(*keys, "took")
+    marks = exact_percentiles(
+        took, keys, "took", {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, block_chunk(F.col("took"), 60_000)
     )
+    sums = took.groupBy(*keys).agg(F.count("*").alias("events"), F.avg("took").alias("mean_ms"))
+    return sums.join(marks, keys) if keys else sums.withColumn("_j", F.lit(1)).join(marks.withColumn("_j", F.lit(1)), "_j").drop("_j")
 
 
 # Base and longest backoff in seconds.

@@ -26,13 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without either gets a temporary folder. A cluster session without either is an error,
     because a folder on one machine is lost with that machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="grantflow-"))
-    return spark.sparkContext.getCheckpointDir()
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="grantflow-"))
+    return context.getCheckpointDir()
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

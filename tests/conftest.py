@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,7 +15,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("grantflow-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="grantflow-tests-"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
