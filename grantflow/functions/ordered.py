@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def time_chunk(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+def block_chunk(seq: Column, size: int) -> Column:
+    """Start of the block of ``size`` values that ``seq`` falls into; integers only."""
+    return (seq - F.pmod(seq, F.lit(size))).cast("long")
 
 
-def block_chunk(seq: Column, size: int) -> Column:
-    return F.floor(seq / F.lit(size)).cast("long")
+def time_chunk(ts: Column, seconds: int) -> Column:
+    return block_chunk(F.unix_micros(ts), seconds * 1_000_000)
 
 
 def _neighbour(df, keys, order, cols, chunk, *, back: bool, prefix: str) -> DataFrame:

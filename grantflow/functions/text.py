@@ -27,16 +27,16 @@ def tuple_string(
     return F.when(userset == "", head).otherwise(F.concat(head, F.lit("#"), userset))
 
 
-OBJECT_PATTERN = r"^([^:#\s]+):([^#\s]+)(?:#([^#\s]+))?$"
-
-
 def parse_object(col: Column) -> Column:
     """``type:id`` or ``type:id#rel`` as a struct; all fields are empty when the text is malformed."""
-    return F.struct(
-        F.regexp_extract(col, OBJECT_PATTERN, 1).alias("type"),
-        F.regexp_extract(col, OBJECT_PATTERN, 2).alias("id"),
-        F.regexp_extract(col, OBJECT_PATTERN, 3).alias("rel"),
-    )
+    text = F.coalesce(col, F.lit(""))
+    head = F.substring_index(text, "#", 1)
+    type_ = F.substring_index(head, ":", 1)
+    id_ = F.substring(head, F.length(type_) + 2, F.length(head))
+    rel = F.substring(text, F.length(head) + 2, F.length(text))
+    colon, hash_ = F.instr(head, ":"), F.instr(text, "#")
+    ok = (colon > 1) & (id_ != "") & ((hash_ == 0) | (rel != "")) & (F.instr(rel, "#") == 0) & ~text.rlike(r"\s")
+    return F.struct(*[F.when(ok, part).otherwise("").alias(n) for part, n in ((type_, "type"), (id_, "id"), (rel, "rel"))])
 
 
 def decision_key(prefix: str, res_type: str, res_id: str, permission: str, sub_type: str, sub_id: str) -> Column:

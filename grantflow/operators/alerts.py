@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import time_chunk, with_previous, with_running
+from ..functions.ordered import block_chunk, time_chunk, with_previous, with_running
 from ..functions.paging import paged_lists
 from . import metrics as me
 from .select import match_labels
@@ -65,11 +65,10 @@ def _quantile(name: str, q: float):
         r = me.rate(_named(s, name), range_, step)
         rest = F.map_filter("labels", lambda k, _: k != "le")
         b = r.select(
-            me.series_key(rest).alias("series"), rest.alias("labels"), "t",
+            me.series_key(rest).alias("series"), "t",
             me.bucket_bound(F.col("labels")["le"]).alias("le"), "value",
         )
-        labels = b.groupBy("series", "t").agg(F.any_value("labels").alias("labels"))
-        return me.histogram_quantile(b, q, ["series", "t"]).join(labels, ["series", "t"]).select("labels", "t", "value")
+        return me.histogram_quantile(b, q, ["series", "t"]).select(me.series_labels(F.col("series")), "t", "value")
 
     return expr
 
@@ -79,11 +78,11 @@ def _pair(left, right, combine):
 
     def expr(s, range_, step):
         a, b = (
-            e(s, range_, step).select(me.series_key(F.col("labels")).alias("series"), "labels", "t", F.col("value").alias(n))
+            e(s, range_, step).select(me.series_key(F.col("labels")).alias("series"), "t", F.col("value").alias(n))
             for e, n in ((left, "a"), (right, "b"))
         )
-        both = a.join(b.drop("labels"), ["series", "t"])
-        return both.select("labels", "t", combine(F.col("a"), F.col("b")).alias("value")).where("value is not null")
+        both = a.join(b, ["series", "t"])
+        return both.select(me.series_labels(F.col("series")), "t", combine(F.col("a"), F.col("b")).alias("value")).where("value is not null")
 
     return expr
 
@@ -202,10 +201,10 @@ def throttle(
     """
     step = interval_s * 1_000_000
     ticks = (
-        groups.withColumn("tick", F.floor(F.unix_micros("ts") / F.lit(step)))
+        groups.withColumn("tick", (block_chunk(F.unix_micros("ts"), step) / F.lit(step)).cast("long"))
         .groupBy(*keys, "tick").agg(F.max_by("content", "ts").alias("content"))
     )
-    block = F.floor(F.col("tick") * interval_s / F.lit(chunk)).cast("long")
+    block = block_chunk(F.col("tick"), max(1, chunk // interval_s))
     rows = with_previous(ticks, keys, ["tick"], ["tick", "content"], block)
     same = F.col("content") == F.col("prev_content")
     joined = F.coalesce(same & (F.col("tick") == F.col("prev_tick") + 1), F.lit(False))

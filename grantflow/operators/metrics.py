@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.ordered import time_chunk, with_previous
@@ -18,25 +19,29 @@ CHUNK = 86_400  # seconds of one series handled by one task
 
 
 def series_key(labels: Column) -> Column:
-    """Labels as text in label order, to group by."""
-    pairs = F.transform(F.array_sort(F.map_entries(labels)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return F.array_join(pairs, ",")
+    """Labels as JSON text in label order, to group by; ``series_labels`` turns it back."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(labels))))
 
 
-def _grid(ts_us: Column, range_s: int, step_s: int) -> Column:
+def series_labels(series: Column) -> Column:
+    return F.from_json(series, T.MapType(T.StringType(), T.StringType())).alias("labels")
+
+
+def _grid(us: Column, range_s: int, step_s: int) -> Column:
     """Evaluation times (microseconds) whose look-back contains the sample."""
     step, span = F.lit(step_s * 1_000_000), F.lit(range_s * 1_000_000)
-    first = F.ceil(ts_us / step) * step
-    last = F.floor((ts_us + span - 1) / step) * step
+    first = us + F.pmod(-us, step)
+    last = us + span - 1
+    last = last - F.pmod(last, step)
     return F.when(last >= first, F.sequence(first, last, step)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _increases(df: DataFrame, chunk: int) -> DataFrame:
-    rows = df.select("name", "labels", series_key(F.col("labels")).alias("series"), "ts", "value")
+    rows = df.select("name", series_key(F.col("labels")).alias("series"), "ts", "value")
     rows = with_previous(rows, SERIES, ["ts"], ["ts", "value"], time_chunk(F.col("ts"), chunk))
     grown = F.when(F.col("value") < F.col("prev_value"), F.col("value")).otherwise(F.col("value") - F.col("prev_value"))
     return rows.select(
-        *SERIES, "labels", F.unix_micros("ts").alias("us"), F.unix_micros("prev_ts").alias("prev_us"), grown.alias("grown"),
+        *SERIES, F.unix_micros("ts").alias("us"), F.unix_micros("prev_ts").alias("prev_us"), grown.alias("grown"),
         "value",
     )
 
@@ -52,12 +57,12 @@ def rate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK) -
     return (
         rows.groupBy(*SERIES, "t")
         .agg(
-            F.any_value("labels").alias("labels"), F.count("*").alias("n"), F.min("us").alias("lo"),
-            F.max("us").alias("hi"), F.sum(F.when(inside, F.col("grown"))).alias("grown"),
+            F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"),
+            F.sum(F.when(inside, F.col("grown"))).alias("grown"),
         )
         .where("n >= 2 and hi > lo")
         .select(
-            "name", "labels", F.timestamp_micros("t").alias("t"),
+            "name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"),
             (F.col("grown") / ((F.col("hi") - F.col("lo")) / 1e6)).alias("value"),
         )
     )
@@ -69,10 +74,10 @@ def irate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK)
     rows = _increases(df, chunk).withColumn("t", F.explode(_grid(F.col("us"), range_s, step_s)))
     last = F.max_by(F.struct("us", "prev_us", "grown"), "us").alias("l")
     return (
-        rows.groupBy(*SERIES, "t").agg(F.any_value("labels").alias("labels"), last)
+        rows.groupBy(*SERIES, "t").agg(last)
         .where(F.col("l.prev_us") > F.col("t") - F.lit(span))
         .select(
-            "name", "labels", F.timestamp_micros("t").alias("t"),
+            "name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"),
             (F.col("l.grown") / ((F.col("l.us") - F.col("l.prev_us")) / 1e6)).alias("value"),
         )
     )
@@ -80,11 +85,11 @@ def irate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK)
 
 def instant(df: DataFrame, step_s: int = 30, lookback_s: int = 300) -> DataFrame:
     """Last sample of each series at every evaluation time, no older than the look-back."""
-    rows = df.select("name", "labels", series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("us"), "value")
+    rows = df.select("name", series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("us"), "value")
     rows = rows.withColumn("t", F.explode(_grid(F.col("us"), lookback_s, step_s)))
     return (
-        rows.groupBy(*SERIES, "t").agg(F.any_value("labels").alias("labels"), F.max_by("value", "us").alias("value"))
-        .select("name", "labels", F.timestamp_micros("t").alias("t"), "value")
+        rows.groupBy(*SERIES, "t").agg(F.max_by("value", "us").alias("value"))
+        .select("name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"), "value")
     )
 
 

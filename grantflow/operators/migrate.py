@@ -29,44 +29,32 @@ def entity_tuples(
     ``refs`` maps a relation to the type it points to, with the id in column ``<type>_id`` (or given as
     ``type@column``). ``users`` and ``subjects`` map a relation to the column of user names or subject texts.
     """
+    # Each link is (relation, type or null, text); texts without a known type are parsed after the explode.
     links = []
     for relation, target in refs.items():
         type_, _, col = target.partition("@")
-        links.append(F.transform(_values(df, col or f"{type_}_id"), _typed(relation, type_)))
+        links.append(F.transform(_values(df, col or f"{type_}_id"), _link(relation, type_)))
     for relation, col in users.items():
-        links.append(F.transform(_values(df, col), _typed(relation, "user")))
+        links.append(F.transform(_values(df, col), _link(relation, "user")))
     for relation, col in subjects.items():
-        links.append(F.transform(_values(df, col), _parsed(relation)))
-    filled = F.filter(F.concat(*links), lambda x: x["sub_id"] != "")
-    return (
-        df.select(F.lit(res_type).alias("res_type"), F.col(id_).cast("string").alias("res_id"), F.explode(filled).alias("l"))
-        .select("res_type", "res_id", "l.*")
-        .withColumn("valid", F.col("sub_type") != "")
-        .distinct()
+        links.append(F.transform(_values(df, col), _link(relation, None)))
+    rows = df.select(F.col(id_).cast("string").alias("res_id"), F.explode(F.concat(*links)).alias("l")).where("l.text <> ''")
+    known = F.col("l.type").isNotNull()
+    parsed = rows.withColumn("s", F.when(~known, parse_object(F.col("l.text"))))
+    sub_type = F.when(known, F.col("l.type")).otherwise(F.col("s.type"))
+    return parsed.select(
+        F.lit(res_type).alias("res_type"), "res_id", F.col("l.relation").alias("relation"), sub_type.alias("sub_type"),
+        F.when(known | (F.col("s.type") == ""), F.col("l.text")).otherwise(F.col("s.id")).alias("sub_id"),
+        F.when(known, "").otherwise(F.col("s.rel")).alias("sub_rel"), (sub_type != "").alias("valid"),
+    ).distinct()
+
+
+def _link(relation: str, type_: str | None):
+    return lambda v: F.struct(
+        F.lit(relation).alias("relation"), F.lit(type_).cast("string").alias("type"), v.alias("text")
     )
 
 
-def _link(relation: str, type_: Column, id_: Column, rel: Column) -> Column:
-    return F.struct(
-        F.lit(relation).alias("relation"), type_.alias("sub_type"), id_.alias("sub_id"), rel.alias("sub_rel")
-    )
-
-
-def _typed(relation: str, type_: str):
-    """An id of a known type; it is not parsed."""
-    return lambda v: _link(relation, F.lit(type_), v, F.lit(""))
-
-
-def _parsed(relation: str):
-    """A subject text; a malformed one keeps its text as the id and has no type."""
-
-    def link(v: Column) -> Column:
-        s = parse_object(v)
-        return _link(relation, s["type"], F.when(s["type"] == "", v).otherwise(s["id"]), s["rel"])
-
-    return link
-
-
 def accepted(df: DataFrame) -> DataFrame:
     return df.where("valid").select(*TUPLE_COLS)
 
