@@ -1,8 +1,9 @@
 """Relational entities to relationship tuples.
 
-Every entity row names its links in columns. A column holds one value, a blank-separated text or an array.
-All links of a row are listed in one pass. Subjects given as text (``type:id`` or ``type:id#rel``) may be
-malformed; such links come out with ``valid = false`` and are never stored.
+Every entity row names its links in columns. A column of users or subjects holds one value, a blank-separated text
+or an array; a column that points to another entity holds one id. All links of a row are listed in one pass.
+Subjects given as text (``type:id`` or ``type:id#rel``) may be malformed; such links come out with
+``valid = false`` and are never stored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def entity_tuples(
     links = []
     for relation, target in refs.items():
         type_, _, col = target.partition("@")
-        links.append(F.transform(_values(df, col or f"{type_}_id"), _link(relation, type_)))
+        links.append(F.array(_link(relation, type_)(F.coalesce(F.col(col or f"{type_}_id").cast("string"), F.lit("")))))
     for relation, col in users.items():
         links.append(F.transform(_values(df, col), _link(relation, "user")))
     for relation, col in subjects.items():
