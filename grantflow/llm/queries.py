@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, urlfilter
+from . import bpe, langid, mixing, simhash, urlfilter
 from .catalog import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -73,6 +73,20 @@ def captures_and_lists(spark, sf_dir):
     return captures, entries
 
 
+@query("op2_simhash")
+def op2_simhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=4, radius=4).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = langid.fold(F.col("doc_id"), 5)
+    held_out = F.coalesce(remainder == 0, F.lit(False)).alias("held_out")
+    return langid.identify(docs, remainder != 0).select("doc_id", held_out, "lang_pred", "score", "accepted")
+
+
 @query("op6_url_filters", URL_SQL)
 def op6_url_filters(spark, sf_dir):
     captures, entries = captures_and_lists(spark, sf_dir)
