@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, digest, langid, mixing, simhash, urlfilter
+from . import bpe, digest, langid, mainpage, mixing, simhash, urlfilter
 from .catalog import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -73,6 +73,11 @@ def captures_and_lists(spark, sf_dir):
     return captures, entries
 
 
+@query("op1_html_extraction")
+def op1_html_extraction(spark, sf_dir):
+    return mainpage.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op2_simhash")
 def op2_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
