@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, digest, langid, mainpage, mixing, simhash, urlfilter
+from . import bpe, digest, langid, mainpage, mixing, simhash, suffixes, urlfilter
 from .catalog import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -99,6 +99,13 @@ def op4_language_id(spark, sf_dir):
     return langid.identify(docs, remainder != 0).select("doc_id", held_out, "lang_pred", "score", "accepted")
 
 
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_url_filters", URL_SQL)
 def op6_url_filters(spark, sf_dir):
     captures, entries = captures_and_lists(spark, sf_dir)
