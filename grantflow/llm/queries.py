@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, digest, langid, mainpage, mixing, simhash, suffixes, urlfilter
+from . import bpe, digest, kneser, langid, mainpage, mixing, simhash, suffixes, urlfilter
 from .catalog import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -124,3 +124,12 @@ def op8_mixing(spark, sf_dir):
 def op9_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, vocabulary(), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = langid.fold(F.col("doc_id"), 7)
+    scored = kneser.fit_and_score(docs, remainder != 2)
+    return scored.select(
+        "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
