@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, digest, kneser, langid, mainpage, mixing, simhash, suffixes, urlfilter
+from . import bpe, digest, kneser, langid, mainpage, mixing, mtree, simhash, suffixes, urlfilter
 from .catalog import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -113,6 +113,25 @@ def op6_url_filters(spark, sf_dir):
     return out.select("page_id", "url", "host", "fetched_day", "blocked", "n_entries", F.array_join("lists", ",").alias("lists"), "rule")
 
 
+def products_sql() -> str:
+    """Every query against every other row by brute force."""
+    return """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
+
+
+@query("op7_exact_top_k", products_sql())
+def op7_exact_top_k(spark, sf_dir):
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op8_mixing")
 def op8_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
