@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ranges, text_blocks, text_of
 
@@ -161,9 +162,8 @@ def encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens", "
     """
     keep = [c for c in docs.columns if c != text and c not in outputs]
     source = docs.select(*keep, text_of(docs, text).alias("_text"))
-    schema = source.drop("_text").schema
-    for name in outputs:
-        schema = schema.add(name, COLUMNS[name])
+    made = T.StructType.fromDDL(", ".join(f"{name} {COLUMNS[name]}" for name in outputs))
+    schema = T.StructType([*source.drop("_text").schema, *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = merges(path)
@@ -202,7 +202,3 @@ def encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens", "
 
     return source.mapInArrow(run, schema)
 
-
-def with_ids(docs: DataFrame, path: str) -> DataFrame:
-    """Documents with their token ids, the form in which a training job reads them."""
-    return encode(docs.withColumn("_raw", F.col("text")), path, ("n_tokens", "ids")).withColumnRenamed("_raw", "text")

@@ -67,16 +67,17 @@ def shingle_bits(texts: list[bytes], shingle: int) -> np.ndarray:
     return np.packbits(ones * 2 > made[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint as a signed 64-bit number. Null texts are empty."""
-    source = docs.select(F.col(id_column).alias("doc_id"), text_of(docs, text).alias("_text"))
+def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", id_column: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *carry, fp)`` for every row; ``fp`` is the fingerprint as a signed 64-bit number. Null texts are empty."""
+    source = docs.select(F.col(id_column).alias("doc_id"), *carry, text_of(docs, text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "_text"):
             found = shingle_bits(batch.column("_text").cast(pa.binary()).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            kept = ["doc_id", *carry]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found.view(np.int64))], names=[*kept, "fp"])
 
-    return source.mapInArrow(run, source.select("doc_id").schema.add("fp", "long"))
+    return source.mapInArrow(run, source.drop("_text").schema.add("fp", "long"))
 
 
 class Trees:
@@ -215,21 +216,24 @@ def near_links(distinct: DataFrame, rows: int, radius: int = 4, part: int = PART
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``(doc_id, fp, fingerprint, component_id)``, a row for every row of ``docs``.
+def near_duplicates(
+    docs: DataFrame, shingle: int = 4, radius: int = 4, text: str = "text", id_column: str = "doc_id", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(doc_id, *carry, fp, fingerprint, component_id, root)``, a row for every row of ``docs``.
 
     Words are separated by white space (0x20, 0x09-0x0D) and A-Z is lower-cased; shingles of ``shingle`` words
     count as often as they occur. A shorter text is one shingle; a text without words, also null, has fingerprint
     zero and is linked like any other. ``component_id`` is the smallest id reachable over links of at most
     ``radius`` differing bits (null only if no id of the component is known). Equal ids are equal documents for
-    it but keep their rows. An empty table gives an empty result.
+    it but keep their rows. ``root`` is the least fingerprint of the component. An empty table gives an empty result.
 
     Copies are reduced to one fingerprint before any search, and fingerprints, links and components stay in Spark.
     """
-    prints = cut(fingerprints(docs, shingle, text, id_column))
+    prints = cut(fingerprints(docs, shingle, text, id_column, carry))
     distinct = cut_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(distinct.df, distinct.rows, radius))
     rooted = distinct.df.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select(
+        "doc_id", *carry, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")

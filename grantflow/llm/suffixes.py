@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import NULL_ID, key_runs, mix64, ranges, text_blocks, text_bytes, text_of
@@ -249,7 +250,7 @@ def _compare(length: int):
     return run
 
 
-def _cut_out(length: int):
+def _cut_out(length: int, as_text: bool):
     """Texts without their repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,11 +287,13 @@ def _cut_out(length: int):
             spans = pa.StructArray.from_arrays([pa.array(begin - base), pa.array(end - base)], names=["start", "end"])
             kept = flat[~gone]
             kept_at = offsets - total[offsets]
+            left = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(kept_at.astype(np.int32)), pa.py_buffer(kept.tobytes())])
+            if as_text:
+                left = pa.array([x.decode("utf-8", "ignore") for x in left.to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([
-                batch.column("_id"), batch.column("_seq"), pa.array(np.diff(offsets)), pa.array(removed),
-                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), spans),
-                pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(kept_at.astype(np.int32)), pa.py_buffer(kept.tobytes())]),
-            ], names=["_id", "_seq", "n_bytes", "n_removed", "removed", "kept"])
+                batch.column("_id"), batch.column("_seq"), batch.column("_carry"), pa.array(np.diff(offsets)), pa.array(removed),
+                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), spans), left,
+            ], names=["_id", "_seq", "_carry", "n_bytes", "n_removed", "removed", "kept"])
 
     return run
 
@@ -311,24 +314,29 @@ def hot_leads(texts: DataFrame, length: int, lead: int) -> np.ndarray:
     return np.array(sorted(r["key"] for r in counts.where(F.col("n") > total * HOT_SHARE).collect()), np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, lead: int = LEAD, text: str = "text", id_column: str = "doc_id",
+    carry: tuple[str, ...] = (), as_text: bool = False,
+) -> DataFrame:
     """Every document without the bytes of strings of ``length`` bytes that start earlier in the table.
 
-    Returns ``doc_id``, ``n_bytes``, ``n_removed``, ``removed`` (maximal removed runs as byte offsets) and ``kept``
-    (the remaining bytes, which may begin or end inside a character). Overlapping occurrences count, and all are
+    Returns ``doc_id``, ``carry``, ``n_bytes``, ``n_removed``, ``removed`` (maximal removed runs as byte offsets) and
+    ``kept``: the remaining bytes, or with ``as_text`` the text they hold without characters cut in two. Overlapping occurrences count, and all are
     judged on the input. Null texts are empty. A null id sorts first; rows of equal id are separate documents in
     the order of their texts, so of two equal rows the second is a repeat. Texts shorter than ``length`` stay.
     """
-    base = docs.select(F.col(id_column).cast("long").alias("_given"), text_of(docs, text).alias("_text"))
-    base = base.select(F.coalesce("_given", F.lit(NULL_ID)).alias("_id"), "_text")
+    base = docs.select(
+        F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("_id"), text_of(docs, text).alias("_text"),
+        F.struct(*carry, F.lit(0).alias("_")).alias("_carry"))
     hot = hot_leads(base, length, lead)
     texts = base.withColumn("_seq", F.row_number().over(Window.partitionBy("_id").orderBy("_text")))
-    texts = texts.select("_id", "_seq", "_text")
+    # All that follows takes all columns of ``texts``, so that the texts are shuffled once and that shuffle is reused.
+    texts = texts.select("_id", "_seq", "_text", "_carry")
     found = texts.mapInArrow(_anchor_rows(hot, length, lead), "key long, around long, _id long, _seq int, packed long, done boolean")
     found = found.repartition("key").sortWithinPartitions("key")
     items = found.mapInArrow(_settle, "_id long, _seq int, packed long, key long")
     items = items.groupBy("_id").agg(F.collect_list(F.struct("_seq", "packed", "key")).alias("items"))
-    open_ = texts.join(items, "_id").select("_id", "_seq", "_text", "items").mapInArrow(
+    open_ = texts.join(items, "_id").select(*texts.columns, "items").mapInArrow(
         _surroundings(length), "lead binary, key long, _id long, _seq int, packed long, around binary")
     open_ = open_.repartitionByRange("lead", "key").sortWithinPartitions("lead", "key")
     spans = open_.mapInArrow(_compare(length), "_id long, _seq int, start long, size long")
@@ -336,8 +344,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, text
     joined = texts.join(items, "_id", "left").join(spans, "_id", "left")
     empty = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
     joined = joined.select(
-        "_id", "_seq", "_text", empty("items", "array<struct<_seq:int,packed:bigint,key:bigint>>"),
+        *texts.columns, empty("items", "array<struct<_seq:int,packed:bigint,key:bigint>>"),
         empty("spans", "array<struct<_seq:int,start:bigint,size:bigint>>"))
-    out = joined.mapInArrow(
-        _cut_out(length), "_id long, _seq int, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept binary")
-    return out.select(F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"), "_seq", "n_bytes", "n_removed", "removed", "kept")
+    made = T.StructType.fromDDL(f"n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}")
+    out = joined.mapInArrow(_cut_out(length, as_text), T.StructType([*texts.drop("_text").schema, *made]))
+    return out.select(
+        F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"), *[F.col("_carry")[c].alias(c) for c in carry],
+        "n_bytes", "n_removed", "removed", "kept")
