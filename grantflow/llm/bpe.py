@@ -17,10 +17,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ranges, text_blocks, text_of
+from .common import ranges, text_blocks
 
 #: Words kept by a task before its table is started anew.
 WORD_TABLE = 400_000
@@ -161,19 +160,19 @@ def encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens", "
     the same names are replaced.
     """
     keep = [c for c in docs.columns if c != text and c not in outputs]
-    source = docs.select(*keep, text_of(docs, text).alias("_text"))
+    source = docs.select(*keep, text)
     made = T.StructType.fromDDL(", ".join(f"{name} {COLUMNS[name]}" for name in outputs))
-    schema = T.StructType([*source.drop("_text").schema, *made])
+    schema = T.StructType([*docs.select(*keep).schema, *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = merges(path)
         table = WordTable(model)
-        for batch in text_blocks(batches, "_text"):
+        for batch in text_blocks(batches, text):
             if len(table) > WORD_TABLE:
                 table = WordTable(model)
             numbers, counts = [], []
-            for t in batch.column("_text").to_pylist():
-                found = list(map(table.__getitem__, words_of(model, t)))
+            for t in batch.column(text).to_pylist():
+                found = list(map(table.__getitem__, words_of(model, t or "")))
                 numbers += found
                 counts.append(len(found))
             table.settle()

@@ -93,6 +93,14 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - counts), counts)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

@@ -32,6 +32,9 @@ BUCKETS, WIDTH = 1 << 16, 12
 #: Bound of the training sample: documents per language, and pieces cut from each.
 SAMPLE_DOCS, SAMPLE_PIECES = 1200, 5
 
+#: Fewest gradient steps; a small sample is gone through more often.
+LEAST_STEPS = 500
+
 #: Lengths of training pieces in characters.
 PIECE_CHARS = (24, 48, 96, 192, 384)
 
@@ -92,6 +95,7 @@ def train(pieces: list[str], labels: list[str], held: np.ndarray, *, epochs: int
     embed = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
     layer, bias = np.zeros((WIDTH, len(langs)), np.float32), np.zeros(len(langs), np.float32)
     fit = np.flatnonzero((~held | (len(set(held.tolist())) == 1)) & (np.diff(at) > 0))
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, -(-len(fit) // batch)))) if len(fit) else 0
     steps, step = max(1, epochs * -(-len(fit) // batch)), 0
     for _ in range(epochs):
         rng.shuffle(fit)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from grantflow.functions.ordered import time_chunk, with_next
 
+from .common import fresh
+
 #: Length of the time buckets in which captures meet intervals, and of the chunks of one entry's history.
 BUCKET_SECONDS = 32 * 86_400
 
@@ -69,6 +71,7 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", a
     """
     added = ["host", "blocked", "n_entries", "lists", "rule"]
     captures = captures.drop(*[c for c in added if c in captures.columns])
+    url_, at_ = fresh("_url", captures.columns), fresh("_at", captures.columns)
     asked = captures.select(F.col(url).alias("_url"), F.col(at).alias("_at")).where("_url is not null and _at is not null").distinct()
     keyed = asked.select("_url", "_at", _bucket(F.col("_at")).alias("_bucket"), F.explode(url_keys(F.col("_url"))).alias("_key"))
     lo, hi = captures.agg(F.min(_bucket(F.col(at))), F.max(_bucket(F.col(at)))).first()
@@ -82,9 +85,10 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", a
         F.count("*").alias("n_entries"), F.sort_array(F.collect_set("list")).alias("lists"),
         F.min_by("pattern", F.struct(-F.length("pattern"), "pattern")).alias("rule"),
     )
-    out = captures.join(found, (F.col(url) == F.col("_url")) & (F.col(at) == F.col("_at")), "left")
+    found = found.withColumnsRenamed({"_url": url_, "_at": at_})
+    out = captures.join(found, (captures[url] == found[url_]) & (captures[at] == found[at_]), "left")
     return out.select(
-        *captures.columns, url_host(F.col(url)).alias("host"), F.col("n_entries").isNotNull().alias("blocked"),
+        *[captures[c] for c in captures.columns], url_host(captures[url]).alias("host"), F.col("n_entries").isNotNull().alias("blocked"),
         F.coalesce("n_entries", F.lit(0)).cast("long").alias("n_entries"),
         F.coalesce("lists", F.array().cast("array<string>")).alias("lists"), "rule",
     )
