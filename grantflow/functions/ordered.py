@@ -80,6 +80,11 @@ def with_running(
     return out.drop("_chunk", *drop)
 
 
+def group_key(keys: list[str]) -> Column:
+    """The key columns as one value that is never null, so that groups with null keys meet in joins."""
+    return F.struct(F.lit(1).alias("one"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+
+
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, outs: dict[str, float], chunk: Column
 ) -> DataFrame:
@@ -89,9 +94,9 @@ def exact_percentiles(
     a key with most of the rows is neither one task nor one in-memory table. ``chunk`` is an expression of
     ``value``. Null values are ignored.
     """
-    tag = [*keys, "_all"]
+    tag = ["_all"]
     counts = (
-        df.where(F.col(value).isNotNull()).withColumn("_all", F.lit(1))
+        df.where(F.col(value).isNotNull()).withColumn("_all", group_key(keys))
         .groupBy(*tag, value).agg(F.count("*").alias("_n"))
     )
     totals = counts.groupBy(*tag).agg(F.sum("_n").alias("_total"))
@@ -107,7 +112,7 @@ def exact_percentiles(
                  F.max(place - F.floor(place)).alias(f"_f_{name}")]
     picked = ranked.groupBy(*tag).agg(*aggs)
     return picked.select(
-        *keys,
+        *[F.col("_all")[f"k{i}"].alias(k) for i, k in enumerate(keys)],
         *[
             (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in outs
         ],

@@ -157,12 +157,9 @@ def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return literal_table(spark, list(rules), RULES)
 
 
-def rules_list(df: DataFrame, limit: int = 100_000) -> list[Rule]:
-    """Rules kept in a table. A model has hundreds of rows; more than ``limit`` is refused, not truncated."""
-    rows = df.select(*RULES.names).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rules")
-    return [Rule(*r) for r in rows]
+def rules_list(df: DataFrame) -> list[Rule]:
+    """Rules kept in a table; a model has as many rows as it has terms."""
+    return [Rule(*r) for r in df.select(*RULES.names).distinct().collect()]
 
 
 def tuples_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:

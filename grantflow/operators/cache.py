@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paging import paged_lists
 from ..functions.skew import spread_join
-from .closure import closure_from
+from .closure import reachable
 
 # Time to live in seconds.
 TTL = {"perm": 60, "rel": 30, "schema": 300}
@@ -52,7 +52,7 @@ def dependants(tuples: DataFrame, changes: DataFrame) -> DataFrame:
         F.concat_ws(":", "sub_type", "sub_id").alias("src"), F.concat_ws(":", "res_type", "res_id").alias("dst")
     )
     seeds = changes.select(F.concat_ws(":", "res_type", "res_id").alias("src")).distinct()
-    return closure_from(seeds, edges).select(F.col("dst").alias("object")).distinct()
+    return reachable(seeds, edges).select(F.col("dst").alias("object"))
 
 
 def invalidate_transitive(decisions: DataFrame, changes: DataFrame, tuples: DataFrame) -> DataFrame:

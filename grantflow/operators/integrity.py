@@ -9,17 +9,27 @@ from ..model import TUPLE_COLS
 from .closure import closure, node_id, node_type, tuple_edges
 
 
-def migration_report(tuples: DataFrame) -> DataFrame:
-    """``(kind, name, n, ok)``: entities per type, and subjects per group; a group without members is not ok."""
+def migration_report(tuples: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """``(kind, name, n, expected, ok)``: entities per type, and members per group.
+
+    With ``expected(name, expected)`` a type is ok when it has that many entities, and types that were expected but
+    are absent are reported with none. Without, what is there is ok. A group without members is not ok.
+    """
     entities = tuples.groupBy(F.col("res_type").alias("name")).agg(F.countDistinct("res_id").alias("n"))
+    if expected is None:
+        entities = entities.withColumn("expected", F.lit(None).cast("long"))
+    else:
+        wanted = expected.select("name", F.col("expected").cast("long").alias("expected"))
+        entities = entities.join(wanted, "name", "full_outer").withColumn("n", F.coalesce("n", F.lit(0)))
     member = F.col("relation").isin("member", "t_member")
     groups = (
         tuples.where(F.col("res_type").isin("group", "rbac/group"))
         .groupBy(F.col("res_id").alias("name"))
         .agg(F.count(F.when(member, 1)).alias("n"))
     )
-    return entities.select(F.lit("entities").alias("kind"), "name", "n", (F.col("n") > 0).alias("ok")).unionByName(
-        groups.select(F.lit("members").alias("kind"), "name", "n", (F.col("n") > 0).alias("ok"))
+    same = F.coalesce(F.col("n") == F.col("expected"), F.lit(expected is None))
+    return entities.select(F.lit("entities").alias("kind"), "name", "n", "expected", same.alias("ok")).unionByName(
+        groups.select(F.lit("members").alias("kind"), "name", "n", F.lit(None).cast("long").alias("expected"), (F.col("n") > 0).alias("ok"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import block_chunk, exact_percentiles
+from ..functions.ordered import block_chunk, exact_percentiles, group_key
 from ..functions.skew import spread_join
 from ..model import TUPLE_COLS
 
@@ -99,7 +99,8 @@ def hop_latency(first: DataFrame, second: DataFrame, by: list[str] | None = None
         took, keys, "took", {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, block_chunk(F.col("took"), 60_000)
     )
     sums = took.groupBy(*keys).agg(F.count("*").alias("events"), F.avg("took").alias("mean_ms"))
-    return sums.join(marks, keys) if keys else sums.withColumn("_j", F.lit(1)).join(marks.withColumn("_j", F.lit(1)), "_j").drop("_j")
+    marks = marks.withColumn("_group", group_key(keys)).drop(*keys)
+    return sums.withColumn("_group", group_key(keys)).join(marks, "_group").drop("_group")
 
 
 # Base and longest backoff in seconds.

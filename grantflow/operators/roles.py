@@ -154,10 +154,13 @@ def contingent(grants: DataFrame, first: str, second: str, out: str, members: Da
 
 def gate_on_view(view: DataFrame, scoped: DataFrame) -> DataFrame:
     """``view & workspace.X``: both sides are opened resource grants; ``scoped`` keeps its permission name."""
-    keys = ["type", "id", "permission"]
-    names = scoped.select(*keys).distinct()
-    wide = spread_join(view.select("type", "id", "sub_type", "sub_id"), names, ["type", "id"])
-    return intersect_permission(wide, scoped, keys)
+    who = ["type", "id", "sub_type"]
+    seen = view.select(*who, "sub_id").distinct()
+    asked = scoped.select("type", "id", "permission", "sub_type", "sub_id").distinct()
+    same = spread_join(asked, seen, [*who, "sub_id"], how="left_semi")
+    open_view = spread_join(asked, seen.where("sub_id = '*'").select(*who), who, how="left_semi")
+    open_scope = spread_join(seen, asked.where("sub_id = '*'").select(*who, "permission"), who).select(*asked.columns)
+    return same.unionByName(open_view).unionByName(open_scope).distinct()
 
 
 def map_v1_to_v2(
@@ -216,18 +219,11 @@ def default_assignments(principals: DataFrame, roles: DataFrame, explicit: DataF
 
 def close_requires(verbs: DataFrame) -> DataFrame:
     """``(app, resource, verb, requires)`` to all verbs each verb includes, itself among them."""
-    key = F.concat_ws("|", "app", "resource")
-    edges = verbs.where("requires is not null").select(
-        F.concat_ws("|", key, "verb").alias("src"), F.concat_ws("|", key, "requires").alias("dst")
-    )
-
-    def part(col: str, i: int) -> Column:
-        return F.split(F.col(col), r"\|").getItem(i)
+    def node(verb: str) -> Column:
+        return F.struct("app", "resource", F.col(verb).alias("verb"))
 
-    more = closure(edges).select(
-        part("src", 0).alias("app"), part("src", 1).alias("resource"), part("src", 2).alias("verb"),
-        part("dst", 2).alias("includes"),
-    )
+    edges = verbs.where("requires is not null").select(node("verb").alias("src"), node("requires").alias("dst"))
+    more = closure(edges).select("src.app", "src.resource", "src.verb", F.col("dst.verb").alias("includes"))
     own = verbs.select("app", "resource", "verb", F.col("verb").alias("includes"))
     return own.unionByName(more).distinct()
 

@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import block_chunk, with_next, with_previous
-from ..functions.text import tuple_string
 from ..model import LIVE_XID, TUPLE_COLS
 from .relate import latest_state, workspace_tuples
 from .select import relationship_filter
 
 
 def touch(tuples: DataFrame, new: DataFrame) -> DataFrame:
-    """Upsert: the union without repeats."""
-    return tuples.select(*TUPLE_COLS).unionByName(new.select(*TUPLE_COLS)).distinct()
+    """Upsert of a batch into a table of distinct tuples: what is new is added, the table itself is not moved when the
+    batch is small enough to be broadcast."""
+    base = tuples.select(*TUPLE_COLS)
+    asked = new.select(*TUPLE_COLS).distinct()
+    known = base.join(asked, TUPLE_COLS, "left_semi")
+    return base.unionByName(asked.join(known, TUPLE_COLS, "left_anti"))
 
 
 def create(tuples: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,8 +107,8 @@ def to_versions(log: DataFrame, block: int = 1_000_000) -> DataFrame:
     Repeated touches of a live tuple and deletes of an absent one change nothing. Keys are cut into blocks of
     LSNs, so one tuple that is written all the time is not one task.
     """
-    keys = ["_key"]
-    df = log.withColumn("_key", tuple_string()).withColumn("live", F.col("op") != "DELETE")
+    keys = TUPLE_COLS
+    df = log.withColumn("live", F.col("op") != "DELETE")
     df = _changes(df, keys, block)
     nxt = with_next(df, keys, ["lsn"], ["lsn"], block_chunk(F.col("lsn"), block))
     return nxt.where("live").select(

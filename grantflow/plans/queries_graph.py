@@ -263,11 +263,19 @@ def g16(spark, sf):
 
 @query(
     "g17_effective_access",
-    f"WITH RECURSIVE {ACCESS_SQL} SELECT tp AS type, id, permission, u AS principal FROM scopeuser",
+    f"""WITH RECURSIVE {ACCESS_SQL} SELECT tp AS type, id, permission, u AS principal FROM scopeuser
+    UNION ALL SELECT DISTINCT 'hbi/host', h.res_id, CASE s.permission WHEN 'inventory_host_view' THEN 'view' ELSE 'update' END, s.u
+    FROM tup h JOIN scopeuser s ON s.tp = h.sub_type AND s.id = h.sub_id
+    WHERE h.relation = 't_workspace' AND s.permission IN ('inventory_host_view', 'inventory_host_update')""",
 )
 def g17(spark, sf):
-    _, scopes, members = scope_access(spark, sf)
-    return ev.open_usersets(scopes, members).select("type", "id", "permission", F.col("sub_id").alias("principal"))
+    """Access at every scope and on every host; grants stay at group level until the end."""
+    t, scopes, members = scope_access(spark, sf)
+    names = {"inventory_host_view": "view", "inventory_host_update": "update"}
+    own = scopes.where(F.col("permission").isin(*names))
+    hosts = ro.resource_grants(t, own, HOST).replace(names, subset=["permission"])
+    return ev.open_usersets(scopes.unionByName(hosts.select(*scopes.columns)), members).select(
+        "type", "id", "permission", F.col("sub_id").alias("principal"))
 
 
 V1_SQL = """

@@ -260,11 +260,22 @@ def m10(spark, sf):
 
 @query(
     "m11_migration_report",
-    f"""WITH {GRAPH_SQL} SELECT 'entities' AS kind, res_type AS name, count(DISTINCT res_id) AS n, true AS ok FROM tup
-    GROUP BY res_type UNION ALL SELECT 'members', res_id, count(*), true FROM tup WHERE res_type = 'rbac/group' GROUP BY res_id""",
+    f"""WITH {GRAPH_SQL}, want AS (SELECT 'hbi/host' AS name, (SELECT count(*) FROM orders) AS expected
+      UNION ALL SELECT 'rbac/workspace', (SELECT count(*) FROM customer) UNION ALL SELECT 'rbac/absent', 3),
+    have AS (SELECT res_type AS name, count(DISTINCT res_id) AS n FROM tup GROUP BY res_type)
+    SELECT 'entities' AS kind, coalesce(have.name, want.name) AS name, coalesce(n, 0) AS n, expected,
+      coalesce(coalesce(n, 0) = expected, false) AS ok FROM have FULL JOIN want ON have.name = want.name
+    UNION ALL SELECT 'members', res_id, count(CASE WHEN relation IN ('member', 't_member') THEN 1 END), NULL,
+      count(CASE WHEN relation IN ('member', 't_member') THEN 1 END) > 0 FROM tup WHERE res_type = 'rbac/group' GROUP BY res_id""",
 )
 def m11(spark, sf):
-    return it.migration_report(graph(spark, sf))
+    hosts, workspaces = (table(spark, sf, t).agg(F.count("*").alias("expected")) for t in ("orders", "customer"))
+    wanted = (
+        hosts.select(F.lit("hbi/host").alias("name"), "expected")
+        .unionByName(workspaces.select(F.lit("rbac/workspace").alias("name"), "expected"))
+        .unionByName(spark.range(1).select(F.lit("rbac/absent").alias("name"), F.lit(3).cast("long").alias("expected")))
+    )
+    return it.migration_report(graph(spark, sf), wanted)
 
 
 @query(
