@@ -16,14 +16,20 @@ from . import metrics as me
 from .select import match_labels
 
 
-def alert_states(df: DataFrame, for_seconds: int | Column, *, keys: list[str] | None = None, chunk: int = 86_400) -> DataFrame:
+def alert_states(
+    df: DataFrame, for_seconds: int | Column, *, keys: list[str] | None = None, step_s: int | None = None, chunk: int = 86_400
+) -> DataFrame:
     """States of conditions ``(series, ts, active)``: inactive, pending, firing after ``for_seconds``, and ``since``.
 
-    The start of the current run of true rows is carried over time chunks, so a long series is many tasks.
+    With ``step_s``, the distance of evaluations, a series that was missing for longer starts a new run. The start
+    of the current run is carried over time chunks, so a long series is many tasks.
     """
     keys = keys or ["series"]
-    rows = with_previous(df, keys, ["ts"], ["active"], time_chunk(F.col("ts"), chunk))
-    begins = F.col("active") & ~F.coalesce("prev_active", F.lit(False))
+    rows = with_previous(df, keys, ["ts"], ["active", "ts"], time_chunk(F.col("ts"), chunk))
+    unbroken = F.coalesce("prev_active", F.lit(False))
+    if step_s is not None:
+        unbroken &= F.unix_micros("ts") - F.unix_micros("prev_ts") <= F.lit(step_s * 1_000_000)
+    begins = F.col("active") & ~unbroken
     rows = with_running(
         rows, keys, ["ts"], {"since": ("max", F.when(begins, F.col("ts")))}, time_chunk(F.col("ts"), chunk)
     )
@@ -32,15 +38,25 @@ def alert_states(df: DataFrame, for_seconds: int | Column, *, keys: list[str] |
     return (
         rows.withColumn("state", F.when(~F.col("active"), "inactive").when(held, "firing").otherwise("pending"))
         .withColumn("since", F.when(F.col("active"), F.col("since")))
-        .drop("prev_active")
+        .drop("prev_active", "prev_ts")
     )
 
 
 class AlertRule(NamedTuple):
-    """A rule: an expression over samples giving ``(labels, t, value)``, a comparison, and what it means."""
+    """A row of a rule table: what is computed from the samples, a comparison, and what it means.
+
+    ``kind`` is one of :data:`KINDS`; ``other`` is the second metric of the kinds that take two, ``label match
+    label_value`` an optional condition on labels of the first, ``q`` the quantile.
+    """
 
     alert: str
-    expr: Callable[[DataFrame, int, int], DataFrame]  # samples, range, step
+    kind: str
+    metric: str
+    other: str | None
+    label: str | None
+    match: str | None
+    label_value: str | None
+    q: float | None
     op: str
     bound: float
     for_seconds: int
@@ -48,6 +64,12 @@ class AlertRule(NamedTuple):
     component: str
 
 
+RULE_COLUMNS = (
+    "alert string, kind string, metric string, other string, label string, match string, label_value string, q double, "
+    "op string, bound double, for_seconds int, severity string, component string"
+)
+
+
 def _named(samples: DataFrame, name: str, *matchers: tuple[str, str, str]) -> DataFrame:
     return match_labels(samples.where(F.col("name") == name), list(matchers))
 
@@ -97,69 +119,54 @@ def _total(inner):
     return expr
 
 
-def _cpu(s, range_, step):
-    idle = me.irate(_named(s, "node_cpu_seconds_total", ("mode", "=", "idle")), range_, step)
-    used = me.cpu_used(idle, ["instance"])
-    return used.select(F.create_map(F.lit("instance"), F.coalesce("instance", F.lit(""))).alias("labels"), "t", "value")
+def _busy(name: str, matchers):
+    """Share of time not counted by ``name``, in percent per instance."""
+
+    def expr(s, range_, step):
+        used = me.cpu_used(me.irate(_named(s, name, *matchers), range_, step), ["instance"])
+        return used.select(F.create_map(F.lit("instance"), F.coalesce("instance", F.lit(""))).alias("labels"), "t", "value")
+
+    return expr
 
 
 def _share(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
-_HITS, _MISSES = _rate("redis_keyspace_hits_total"), _rate("redis_keyspace_misses_total")
-_MEMORY = _pair(
-    _gauge("node_memory_MemAvailable_bytes"), _gauge("node_memory_MemTotal_bytes"), lambda a, b: (1 - _share(a, b)) * 100
-)
-_DISK = _pair(
-    _gauge("node_filesystem_avail_bytes"), _gauge("node_filesystem_size_bytes"), lambda a, b: _share(a, b) * 100
-)
-_CONNECTIONS = _pair(
-    _total(_gauge("pg_stat_activity_count")), _total(_gauge("pg_settings_max_connections")), _share
-)
+def _expressions(rule: AlertRule) -> Callable[[DataFrame, int, int], DataFrame]:
+    """The expression of a rule: ``(samples, range, step)`` to ``(labels, t, value)``."""
+    matchers = [(rule.label, rule.match, rule.label_value)] if rule.label else []
+    rate, gauge = _rate(rule.metric, *matchers), _gauge(rule.metric, *matchers)
+    kinds = {
+        "rate": lambda: rate,
+        "gauge": lambda: gauge,
+        "quantile": lambda: _quantile(rule.metric, rule.q),
+        "ratio": lambda: _pair(gauge, _gauge(rule.other), _share),
+        "percent": lambda: _pair(gauge, _gauge(rule.other), lambda a, b: _share(a, b) * 100),
+        "percent_used": lambda: _pair(gauge, _gauge(rule.other), lambda a, b: (1 - _share(a, b)) * 100),
+        "rate_share": lambda: _pair(rate, _rate(rule.other), lambda a, b: _share(a, a + b)),
+        "total_ratio": lambda: _pair(_total(gauge), _total(_gauge(rule.other)), _share),
+        "busy_percent": lambda: _busy(rule.metric, matchers),
+    }
+    return kinds[rule.kind]()
+
 
-# The rule set with its thresholds, holding times and severities.
-RULE_SET = [
-    AlertRule("HighErrorRate", _rate("grpc_server_handled_total", ("grpc_code", "!=", "OK")), ">", 0.05, 300, "warning", "authz"),
-    AlertRule("HighLatency", _quantile("grpc_server_handling_seconds_bucket", 0.99), ">", 1, 300, "warning", "authz"),
-    AlertRule("EngineDown", _gauge("up", ("job", "=", "authz")), "==", 0, 60, "critical", "authz"),
-    AlertRule("LowHitRate", _pair(_HITS, _MISSES, lambda h, m: _share(h, h + m)), "<", 0.5, 600, "warning", "redis"),
-    AlertRule(
-        "HighCacheMemory", _pair(_gauge("redis_memory_used_bytes"), _gauge("redis_memory_max_bytes"), _share), ">", 0.9, 300,
-        "warning", "redis",
-    ),
-    AlertRule("HighEvictionRate", _rate("redis_evicted_keys_total"), ">", 10, 300, "warning", "redis"),
-    AlertRule("CacheDown", _gauge("up", ("job", "=", "redis")), "==", 0, 60, "critical", "redis"),
-    AlertRule("TooManyConnections", _CONNECTIONS, ">", 0.8, 300, "warning", "postgres"),
-    AlertRule("ReplicationLag", _gauge("pg_replication_lag"), ">", 30, 300, "warning", "postgres"),
-    AlertRule("DatabaseDown", _gauge("up", ("job", "=", "postgres")), "==", 0, 60, "critical", "postgres"),
-    AlertRule("HighConsumerLag", _gauge("kafka_consumergroup_lag"), ">", 1000, 300, "warning", "kafka"),
-    AlertRule(
-        "UnderReplicatedPartitions", _gauge("kafka_server_replicamanager_underreplicatedpartitions"), ">", 0, 300, "warning",
-        "kafka",
-    ),
-    AlertRule("BrokerDown", _gauge("up", ("job", "=", "kafka")), "==", 0, 60, "critical", "kafka"),
-    AlertRule("HighCPUUsage", _cpu, ">", 80, 300, "warning", "system"),
-    AlertRule("HighMemoryUsage", _MEMORY, ">", 90, 300, "warning", "system"),
-    AlertRule("LowDiskSpace", _DISK, "<", 10, 300, "warning", "system"),
-]
-
-# The consumer's rules; they have no holding time.
-CONSUMER_RULES = [
-    AlertRule("HighValidationErrors", _rate("consumer_validation_errors_total"), ">", 0.1, 0, "warning", "consumer"),
-    AlertRule("ProcessingStalled", _rate("consumer_messages_processed_total"), "==", 0, 0, "warning", "consumer"),
-    AlertRule("HighRetryRate", _rate("consumer_retry_attempts_total"), ">", 1, 0, "warning", "consumer"),
-    AlertRule("SlowProcessing", _quantile("consumer_message_processing_duration_seconds_bucket", 0.99), ">", 10, 0, "warning", "consumer"),
-]
+#: Kinds of expressions a rule may use.
+KINDS = ("rate", "gauge", "quantile", "ratio", "percent", "percent_used", "rate_share", "total_ratio", "busy_percent")
 
 
 def evaluate_rules(
-    samples: DataFrame, rules: list[AlertRule] | None = None, *, range_s: int = 300, step_s: int = 30, chunk: int = 86_400
+    samples: DataFrame, rules: DataFrame | list[AlertRule], *, range_s: int = 300, step_s: int = 30, chunk: int = 86_400
 ) -> DataFrame:
-    """States of all rules: ``(alert, severity, component, series, ts, value, state, since)``."""
+    """States of all rules: ``(alert, severity, component, series, ts, value, state, since)``.
+
+    ``rules`` is a table with the columns of :data:`RULE_COLUMNS`, one row per rule.
+    """
+    if isinstance(rules, DataFrame):
+        rules = [AlertRule(*r) for r in rules.select(*AlertRule._fields).collect()]
     parts = []
-    for r in RULE_SET if rules is None else rules:
-        values = r.expr(samples, range_s, step_s)
+    for r in rules:
+        values = _expressions(r)(samples, range_s, step_s)
         parts.append(
             values.select(
                 F.lit(r.alert).alias("alert"), F.lit(r.severity).alias("severity"), F.lit(r.component).alias("component"),
@@ -168,26 +175,55 @@ def evaluate_rules(
             )
         )
     every = reduce(DataFrame.unionByName, parts)
-    states = alert_states(every, F.col("for_seconds"), keys=["alert", "series"], chunk=chunk)
+    states = alert_states(every, F.col("for_seconds"), keys=["alert", "series"], step_s=step_s, chunk=chunk)
     return states.select("alert", "severity", "component", "series", "ts", "value", "state", "since")
 
 
 GROUP_BY = ["alertname", "cluster", "service"]  # fixed values: labels alerts are grouped and inhibited by
 
 
+def _labels(df: DataFrame, names: list[str]) -> DataFrame:
+    """An absent label is an empty text."""
+    for n in names:
+        df = df.withColumn(n, F.coalesce(F.col(n), F.lit("")) if n in df.columns else F.lit(""))
+    return df
+
+
 def group_alerts(alerts: DataFrame, by: list[str] | None = None, *, page: int = 10_000) -> DataFrame:
-    """Alerts ``(by..., ts, series)`` of one group and time as one notification, long ones in pages."""
+    """Alerts ``(by..., ts, series)`` of one group and time as one notification, long ones in pages.
+
+    Absent labels group as empty ones.
+    """
     keys = [*(by or GROUP_BY), "ts"]
+    alerts = _labels(alerts, keys[:-1])
     sizes = alerts.select(*keys, "series").distinct().groupBy(*keys).agg(F.count("*").alias("alerts"))
     return paged_lists(alerts, keys, "series", "members", page).join(sizes, keys)
 
 
-def inhibit(alerts: DataFrame, equal: list[str] | None = None) -> DataFrame:
-    """Drop warnings for which a critical alert with equal labels is firing at the same time."""
-    keys = [*(equal or GROUP_BY), "ts"]
-    critical = alerts.where("severity = 'critical'").select(*keys).distinct()
-    rest = alerts.where("severity <> 'warning'")
-    return rest.unionByName(alerts.where("severity = 'warning'").join(critical, keys, "left_anti").select(*rest.columns))
+def inhibit(alerts: DataFrame, equal: list[str] | None = None, *, within_s: int = 0) -> DataFrame:
+    """Drop warnings for which a critical alert with equal labels is firing; absent labels equal absent ones.
+
+    A critical alert counts at its own time and, with ``within_s``, for so many seconds after it.
+    """
+    names = equal or GROUP_BY
+    marked = alerts
+    keys = [f"_k{i}" for i in range(len(names))]
+    for k, n in zip(keys, names):
+        marked = marked.withColumn(k, F.coalesce(F.col(n), F.lit("")) if n in alerts.columns else F.lit(""))
+    critical = marked.where("severity = 'critical'").select(*keys, F.col("ts").alias("_from")).distinct()
+    rest = alerts.where("severity is null or severity <> 'warning'")
+    warnings = marked.where("severity = 'warning'")
+    if not within_s:
+        kept = warnings.join(critical.withColumnRenamed("_from", "ts"), [*keys, "ts"], "left_anti")
+    else:
+        # Both sides meet in time buckets of the span, so a label with a long history is not compared as a whole.
+        bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(within_s * 1_000_000))
+        spans = critical.withColumn("_b", F.explode(F.array(bucket(F.col("_from")), bucket(F.col("_from")) + 1)))
+        w, c = warnings.withColumn("_b", bucket(F.col("ts"))).alias("w"), spans.alias("c")
+        on = [F.col(f"w.{k}") == F.col(f"c.{k}") for k in [*keys, "_b"]]
+        span = F.unix_micros("w.ts") - F.unix_micros("c._from")
+        kept = w.join(c, reduce(lambda x, y: x & y, on) & span.between(0, within_s * 1_000_000), "left_anti")
+    return rest.unionByName(kept.select(*rest.columns))
 
 
 def throttle(

@@ -354,7 +354,7 @@ def g20(spark, sf):
 
 @query(
     "g21_verb_prerequisites",
-    """WITH RECURSIVE verb AS (SELECT DISTINCT p_brand AS app, p_type AS resource, p_size AS n FROM part),
+    """WITH RECURSIVE verb AS (SELECT DISTINCT p_brand||'|'||(p_partkey % 2) AS app, p_type AS resource, p_size AS n FROM part),
     inc AS (SELECT app, resource, n, n AS m FROM verb
             UNION SELECT i.app, i.resource, i.n, i.m // 2 FROM inc i
             JOIN verb v ON v.app = i.app AND v.resource = i.resource AND v.n = i.m WHERE i.m > 1)
@@ -362,7 +362,7 @@ def g20(spark, sf):
 )
 def g21(spark, sf):
     verbs = table(spark, sf, "part").select(
-        F.col("p_brand").alias("app"), F.col("p_type").alias("resource"),
+        F.concat("p_brand", F.lit("|"), F.col("p_partkey") % 2).alias("app"), F.col("p_type").alias("resource"),
         F.concat(F.lit("v"), F.col("p_size")).alias("verb"),
         F.when(F.col("p_size") > 1, F.concat(F.lit("v"), F.expr("p_size div 2"))).alias("requires"),
     ).distinct()

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alerts as al
 from ..operators import metrics as me
-from ..session import cut, cut_table
+from ..session import cut, cut_table, shared_folder
 from ..sources import metrics as src
-from ..streaming.jobs import alert_stream
+from ..streaming.jobs import condition_stream, condition_table
+from .alert_rules import CONSUMER_RULES, SERVICE_RULES
 from .catalog import query
 from .derived import COUNTER_SQL, RESET_SQL, counter_samples, events, gauge_samples, reset_samples
-from .queries_sources import HEALTH_SQL, health_observations, run_stream, tag
+from .queries_sources import HEALTH_SQL, health_observations, tag
 
 HOUR = 3600
 RANGE, STEP = 6 * HOUR, HOUR
@@ -201,7 +206,8 @@ def t10(spark, sf):
 
 STATE_SQL = """
 cond AS (SELECT 'u'||user_id AS series, ts, event_id, event_type IN ('error', 'click', 'view') AS active FROM events),
-marked AS (SELECT *, active AND NOT coalesce(lag(active) OVER (PARTITION BY series ORDER BY ts), false) AS begins FROM cond),
+marked AS (SELECT *, active AND NOT coalesce(lag(active) OVER w AND epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 172800000000, false) AS begins
+           FROM cond WINDOW w AS (PARTITION BY series ORDER BY ts)),
 runs AS (SELECT *, sum(CASE WHEN begins OR NOT active THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY ts) AS run FROM marked),
 states AS (SELECT series, epoch_us(ts) AS t, CASE WHEN active THEN min(epoch_us(ts)) OVER (PARTITION BY series, run) END AS since,
            active FROM runs)"""
@@ -217,43 +223,58 @@ def conditions(spark, sf):
 
 @query("t11_alert_states", f"WITH {STATE_SQL} {STATE_OUT}")
 def t11(spark, sf):
-    s = al.alert_states(conditions(spark, sf), 86_400)
+    s = al.alert_states(conditions(spark, sf), 86_400, step_s=172_800)
     return s.select("series", at_us("ts"), F.unix_micros("since").alias("since"), "state")
 
 
 @query("t11_alert_states_stream", f"WITH {STATE_SQL} {STATE_OUT}")
 def t11b(spark, sf):
-    rows = cut_table(conditions(spark, sf).coalesce(1))
-    stream = spark.readStream.schema(rows.df.schema).parquet(rows.path)
-    return run_stream(
-        alert_stream(stream, 86_400).select("series", at_us("ts"), F.unix_micros("since").alias("since"), "state")
-    )
+    """The same from a stream of files in random order, one per micro-batch."""
+    rows = cut_table(conditions(spark, sf).repartition(4, F.xxhash64("series", "ts")))
+    stream = spark.readStream.schema(rows.df.schema).option("maxFilesPerTrigger", 1).parquet(rows.path)
+    path = f"{shared_folder(spark)}/conditions-{uuid.uuid4().hex}"
+    table = condition_table(spark, f"{path}/out")
+    condition_stream(stream, table, f"{path}/state").awaitTermination()
+    s = al.alert_states(table.read(), 86_400, step_s=172_800)
+    return s.select("series", at_us("ts"), F.unix_micros("since").alias("since"), "state")
 
 
-def rule_samples(spark, sf):
-    """Samples under the names the rule set reads: a request counter, targets, a lag gauge, hit counters, buckets."""
-    c, g = cut(counter_samples(spark, sf)), gauge_samples(spark, sf)
+def named(df, name, factor=1.0, **labels):
+    """Samples under another name, with the given labels."""
+    pairs = [x for k, v in labels.items() for x in (F.lit(k), v if not isinstance(v, str) else F.lit(v))]
+    return df.select(F.lit(name).alias("name"), F.create_map(*pairs).alias("labels"), "ts", (F.col("value") * factor).alias("value"))
+
 
-    def named(df, name, **labels):
-        pairs = [x for k, v in labels.items() for x in (F.lit(k), v)]
-        return df.select(F.lit(name).alias("name"), F.create_map(*pairs).alias("labels"), "ts", "value")
+def buckets(df, name, shares):
+    """A histogram whose buckets hold fixed shares of a counter."""
+    return [named(df, name, share, le=le) for le, share in shares.items()]
 
+
+def rule_samples(spark, sf):
+    """Samples under all names the service rules read, from the counters and gauges of the event types."""
+    c, g = cut(counter_samples(spark, sf)), cut(gauge_samples(spark, sf))
     method = F.col("labels")["method"]
-    jobs = F.create_map(*[F.lit(x) for p in {"view": "authz", "click": "redis", "signup": "kafka"}.items() for x in p])
+    count, gauge = ({m: df.where(method == m) for m in ("view", "click", "signup", "purchase")} for df in (c, g))
+    up = {m: df.withColumn("value", F.when(F.col("value") > 10, 1.0).otherwise(0.0)) for m, df in gauge.items()}
+    less = gauge["click"].withColumn("value", F.col("value") - 50)
+    fixed = lambda m, v: gauge[m].withColumn("value", F.lit(float(v)))
     parts = [
-        named(c, "grpc_server_handled_total", grpc_method=method, grpc_code=F.col("labels")["code"]),
-        named(c.where(method == "view"), "redis_keyspace_hits_total", job=F.lit("redis")),
-        named(c.where(method == "click"), "redis_keyspace_misses_total", job=F.lit("redis")),
-        named(g.where(method == "signup").withColumn("value", F.col("value") * 20), "kafka_consumergroup_lag", group=F.lit("g")),
-        named(
-            g.where(method.isin("view", "click", "signup")).withColumn("value", F.when(F.col("value") > 10, 1.0).otherwise(0.0)),
-            "up", job=jobs[method],
-        ),
+        named(c, "spicedb_grpc_server_handled_total", grpc_method=method, grpc_code=F.col("labels")["code"]),
+        *buckets(count["view"], "spicedb_grpc_server_handling_seconds_bucket", {"0.5": 0.5, "2": 0.9, "+Inf": 1.0}),
+        named(up["view"], "up", job="spicedb"), named(up["click"], "up", job="redis"),
+        named(up["signup"], "up", job="kafka"), named(up["purchase"], "up", job="postgres"),
+        named(count["view"], "redis_keyspace_hits_total", job="redis"), named(count["click"], "redis_keyspace_misses_total", job="redis"),
+        named(gauge["view"], "redis_memory_used_bytes", job="redis"), named(fixed("view", 40), "redis_memory_max_bytes", job="redis"),
+        named(count["purchase"], "redis_evicted_keys_total", 20_000.0, job="redis"),
+        named(gauge["click"], "pg_stat_activity_count", db="a"), named(gauge["purchase"], "pg_stat_activity_count", db="b"),
+        named(fixed("view", 60), "pg_settings_max_connections", job="postgres"), named(gauge["purchase"], "pg_replication_lag", job="postgres"),
+        named(gauge["signup"], "kafka_consumergroup_lag", 20.0, group="g"),
+        named(less, "kafka_server_replicamanager_underreplicatedpartitions", job="kafka"),
+        named(count["signup"], "node_cpu_seconds_total", 100.0, instance="n", mode="idle"),
+        named(gauge["view"], "node_memory_MemAvailable_bytes", instance="n"), named(fixed("view", 100), "node_memory_MemTotal_bytes", instance="n"),
+        named(gauge["click"], "node_filesystem_avail_bytes", instance="n"), named(fixed("click", 100), "node_filesystem_size_bytes", instance="n"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 GAUGE_SQL = """
@@ -263,16 +284,31 @@ gauge AS (SELECT event_type AS method, t, arg_max(value, epoch_us(ts)) AS value
           JOIN grid ON epoch_us(ts) > t - 6 * 3600000000 AND epoch_us(ts) <= t GROUP BY event_type, t)"""
 RULES_SQL = f"""
 {COUNTER_SQL}, {rate_sql('counter', 'method, code')}, {GAUGE_SQL},
-val AS (
-  SELECT 'HighErrorRate' AS alert, 300 AS hold, method AS s, t, value, value > 0.05 AS active FROM rates WHERE code <> 'OK'
-  UNION ALL SELECT 'LowHitRate', 600, 'redis', h.t, h.value / (h.value + m.value), h.value / (h.value + m.value) < 0.5
+idle AS (SELECT t, arg_max(pus, us) AS pus, max(us) AS us, arg_max(grown, us) AS grown FROM rates_i JOIN rates_g
+         ON us > t - 6 * 3600000000 AND us <= t WHERE method = 'signup' AND pus IS NOT NULL GROUP BY t),
+raw AS (
+  SELECT 'SpiceDBHighErrorRate' AS alert, 300 AS hold, method AS s, t, value AS value, '>' AS op, 0.05 AS bound FROM rates WHERE code <> 'OK'
+  UNION ALL SELECT 'SpiceDBHighLatency', 300, '', t, 2, '>', 1 FROM rates WHERE method = 'view'
+  UNION ALL SELECT 'SpiceDBDown', 60, '', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, '=', 0 FROM gauge WHERE method = 'view'
+  UNION ALL SELECT 'RedisLowHitRate', 600, '', h.t, h.value / (h.value + m.value), '<', 0.5
     FROM rates h JOIN rates m ON h.t = m.t AND h.method = 'view' AND m.method = 'click'
-  UNION ALL SELECT 'HighConsumerLag', 300, 'g', t, value * 20, value * 20 > 1000 FROM gauge WHERE method = 'signup'
-  UNION ALL SELECT 'EngineDown', 60, 'authz', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, value <= 10 FROM gauge WHERE method = 'view'
-  UNION ALL SELECT 'CacheDown', 60, 'redis', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, value <= 10 FROM gauge WHERE method = 'click'
-  UNION ALL SELECT 'BrokerDown', 60, 'kafka', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, value <= 10 FROM gauge WHERE method = 'signup'
+  UNION ALL SELECT 'RedisHighMemory', 300, '', t, value / 40, '>', 0.9 FROM gauge WHERE method = 'view'
+  UNION ALL SELECT 'RedisHighEvictionRate', 300, '', t, value * 20000, '>', 10 FROM rates WHERE method = 'purchase'
+  UNION ALL SELECT 'RedisDown', 60, '', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, '=', 0 FROM gauge WHERE method = 'click'
+  UNION ALL SELECT 'PostgresTooManyConnections', 300, '', a.t, a.v / 60, '>', 0.8
+    FROM (SELECT t, sum(value) AS v FROM gauge WHERE method IN ('click', 'purchase') GROUP BY t) a JOIN gauge m ON m.t = a.t AND m.method = 'view'
+  UNION ALL SELECT 'PostgresReplicationLag', 300, '', t, value, '>', 30 FROM gauge WHERE method = 'purchase'
+  UNION ALL SELECT 'PostgresDown', 60, '', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, '=', 0 FROM gauge WHERE method = 'purchase'
+  UNION ALL SELECT 'KafkaHighConsumerLag', 300, '', t, value * 20, '>', 1000 FROM gauge WHERE method = 'signup'
+  UNION ALL SELECT 'KafkaUnderReplicatedPartitions', 300, '', t, value - 50, '>', 0 FROM gauge WHERE method = 'click'
+  UNION ALL SELECT 'KafkaDown', 60, '', t, CASE WHEN value > 10 THEN 1 ELSE 0 END, '=', 0 FROM gauge WHERE method = 'signup'
+  UNION ALL SELECT 'HighCPUUsage', 300, '', t, 100 - grown * 100 / ((us - pus) / 1e6) * 100, '>', 80 FROM idle WHERE pus > t - 6 * 3600000000
+  UNION ALL SELECT 'HighMemoryUsage', 300, '', t, (1 - value / 100) * 100, '>', 90 FROM gauge WHERE method = 'view'
+  UNION ALL SELECT 'LowDiskSpace', 300, '', t, value / 100 * 100, '<', 10 FROM gauge WHERE method = 'click'
 ),
-vm AS (SELECT *, active AND NOT coalesce(lag(active) OVER (PARTITION BY alert, s ORDER BY t), false) AS b FROM val),
+val AS (SELECT *, CASE op WHEN '>' THEN value > bound WHEN '<' THEN value < bound ELSE value = bound END AS active FROM raw),
+vm AS (SELECT *, active AND NOT coalesce(lag(active) OVER w AND t - lag(t) OVER w <= 3600000000, false) AS b FROM val
+       WINDOW w AS (PARTITION BY alert, s ORDER BY t)),
 vr AS (SELECT *, sum(CASE WHEN b OR NOT active THEN 1 ELSE 0 END) OVER (PARTITION BY alert, s ORDER BY t) AS run FROM vm),
 vs AS (SELECT *, min(t) OVER (PARTITION BY alert, s, run) AS since FROM vr),
 fired AS (SELECT alert, s, t, value, CASE WHEN NOT active THEN 'inactive' WHEN t - since >= hold * 1000000 THEN 'firing'
@@ -284,15 +320,15 @@ fired AS (SELECT alert, s, t, value, CASE WHEN NOT active THEN 'inactive' WHEN t
     f"WITH {RULES_SQL} SELECT alert, t, round(CAST(value AS DOUBLE), 6) AS value, state FROM fired",
 )
 def t12(spark, sf):
-    out = al.evaluate_rules(cut(rule_samples(spark, sf)), range_s=RANGE, step_s=STEP, chunk=7 * 86_400)
+    out = al.evaluate_rules(cut(rule_samples(spark, sf)), SERVICE_RULES, range_s=RANGE, step_s=STEP, chunk=7 * 86_400)
     return out.select("alert", at_us("ts"), rounded(), "state")
 
 
 def alert_rows(spark, sf):
     """Alerts with labels: events as alert instances of a service, severity by type."""
     return events(spark, sf).select(
-        F.when(F.col("k") % 2 == 0, "HighLoad").otherwise("Down").alias("alertname"), F.lit("local").alias("cluster"),
-        F.concat(F.lit("svc"), F.col("k") % 3).alias("service"),
+        F.when(F.col("k") % 2 == 0, "HighLoad").otherwise("Down").alias("alertname"),
+        F.when(F.col("k") % 5 > 0, F.lit("local")).alias("cluster"), F.when(F.col("k") % 3 > 0, F.concat(F.lit("svc"), F.col("k") % 3)).alias("service"),
         F.when(F.col("event_type") == "error", "critical").when(F.col("event_type") == "signup", "info")
         .otherwise("warning").alias("severity"),
         F.timestamp_micros(F.floor(F.unix_micros("ts") / F.lit(3_600_000_000)) * 3_600_000_000).alias("ts"),
@@ -302,7 +338,8 @@ def alert_rows(spark, sf):
 
 ALERT_SQL = """
 al AS (
-  SELECT CASE WHEN k % 2 = 0 THEN 'HighLoad' ELSE 'Down' END AS alertname, 'local' AS cluster, 'svc'||(k % 3) AS service,
+  SELECT CASE WHEN k % 2 = 0 THEN 'HighLoad' ELSE 'Down' END AS alertname, CASE WHEN k % 5 > 0 THEN 'local' ELSE '' END AS cluster,
+         CASE WHEN k % 3 > 0 THEN 'svc'||(k % 3) ELSE '' END AS service,
          CASE event_type WHEN 'error' THEN 'critical' WHEN 'signup' THEN 'info' ELSE 'warning' END AS severity,
          epoch_us(ts) // 3600000000 * 3600000000 AS t, 'u'||user_id AS series, event_id
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
@@ -369,25 +406,25 @@ def t16(spark, sf):
 
 
 def consumer_samples(spark, sf):
-    """The consumer's own metrics: events by type as counters, and daily duration buckets."""
+    """The consumer's own metrics from the counters of the event types."""
     c = cut(counter_samples(spark, sf))
-    names = {"error": "consumer_validation_errors_total", "view": "consumer_messages_processed_total", "click": "consumer_retry_attempts_total"}
-    lookup = F.create_map(*[F.lit(x) for p in names.items() for x in p])
-    counters = c.where(F.col("labels")["method"].isin(*names)).select(
-        lookup[F.col("labels")["method"]].alias("name"), F.create_map(F.lit("topic"), F.lit("t")).alias("labels"), "ts", "value"
-    )
-    return counters
+    method = F.col("labels")["method"]
+    names = {"error": "validation_errors_total", "view": "messages_processed_total", "click": "retry_attempts_total"}
+    parts = [named(c.where(method == m), f"rbac_kafka_consumer_{n}", topic="t") for m, n in names.items()]
+    parts += buckets(c.where(method == "purchase"), "rbac_kafka_consumer_message_processing_duration_seconds_bucket", {"5": 0.5, "20": 0.95, "+Inf": 1.0})
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
     "t17_consumer_alerts",
-    f"""WITH {COUNTER_SQL}, {rate_sql('counter', 'method, code')} SELECT CASE method WHEN 'error' THEN 'HighValidationErrors'
-    WHEN 'view' THEN 'ProcessingStalled' ELSE 'HighRetryRate' END AS alert, t, round(value, 6) AS value,
-    CASE WHEN (method = 'error' AND value > 0.1) OR (method = 'view' AND value = 0) OR (method = 'click' AND value > 1)
-    THEN 'firing' ELSE 'inactive' END AS state FROM rates WHERE method IN ('error', 'view', 'click')""",
+    f"""WITH {COUNTER_SQL}, {rate_sql('counter', 'method, code')} SELECT CASE method WHEN 'error' THEN 'High Error Rate'
+    WHEN 'view' THEN 'Message Processing Stalled' WHEN 'click' THEN 'High Retry Rate' ELSE 'Slow Processing' END AS alert, t,
+    CASE method WHEN 'purchase' THEN 20 ELSE round(value, 6) END AS value,
+    CASE WHEN (method = 'error' AND value > 0.1) OR (method = 'view' AND value = 0) OR (method = 'click' AND value > 1) OR method = 'purchase'
+    THEN 'firing' ELSE 'inactive' END AS state FROM rates WHERE method IN ('error', 'view', 'click', 'purchase')""",
 )
 def t17(spark, sf):
-    out = al.evaluate_rules(consumer_samples(spark, sf), al.CONSUMER_RULES, range_s=RANGE, step_s=STEP, chunk=7 * 86_400)
+    out = al.evaluate_rules(consumer_samples(spark, sf), CONSUMER_RULES, range_s=RANGE, step_s=STEP, chunk=7 * 86_400)
     return out.select("alert", at_us("ts"), rounded(), "state")
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..model import TUPLE_COLS
 from ..operators.relate import dispatch, latest_state, workspace_tuples
@@ -174,41 +172,40 @@ def dedupe_stream(events: DataFrame, keys: list[str], *, time: str = "timestamp"
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def count_stream(events: DataFrame, by: list[str], *, time: str = "timestamp", window: str = "5 minutes", delay: str = "10 minutes"):
-    """Events per window and key."""
-    return (
-        events.withWatermark(time, delay).groupBy(F.window(time, window).alias("w"), *by)
-        .agg(F.count("*").alias("events"))
-        .select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "events")
-    )
+def count_stream(
+    events: DataFrame, path: str, by: list[str], checkpoint: str, *, time: str = "timestamp", window: str = "5 minutes"
+):
+    """Start counting events per window and key into folders ``batch=<id>`` under ``path``.
 
+    A micro-batch writes its own partial counts and a replay overwrites them, so late and out-of-order events count
+    like others and windows that are still open show. ``window_counts`` sums the parts.
+    """
 
-ALERT_OUT = "series string, ts timestamp, state string, since timestamp"
-ALERT_STATE = "since timestamp, last timestamp"
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(F.window(time, window).alias("w"), *by).agg(F.count("*").alias("events"))
+        counts.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "events").write.mode(
+            "overwrite").parquet(f"{path}/batch={batch_id}")
 
+    return _run(events, apply, checkpoint)
 
-def alert_stream(conditions: DataFrame, for_seconds: int) -> DataFrame:
-    """Alert states of ``(series, ts, active)`` rows: inactive, pending, firing. State is two times per series.
 
-    Rows of a micro-batch are taken in time order; rows older than the last one seen are ignored.
-    """
+def window_counts(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
+    """Counts per window and key over all micro-batches so far."""
+    parts = spark.read.parquet(f"{path}/batch=*")
+    return parts.groupBy("start", "end", *by).agg(F.sum("events").alias("events"))
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        since, last = state.get if state.exists else (None, None)
-        rows = []
-        for r in pd.concat(list(parts)).sort_values("ts").itertuples():
-            if last is not None and r.ts <= last:
-                continue
-            last = r.ts
-            if not r.active:
-                since, name = None, "inactive"
-            else:
-                since = r.ts if since is None else since
-                name = "firing" if (r.ts - since).total_seconds() >= for_seconds else "pending"
-            rows.append((key[0], r.ts, name, since))
-        state.update((since, last))
-        yield pd.DataFrame(rows, columns=["series", "ts", "state", "since"])
-
-    return conditions.groupBy("series").applyInPandasWithState(
-        step, ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+
+CONDITION = T.StructType(
+    [T.StructField("series", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("active", T.BooleanType())]
+)
+
+
+def condition_table(spark: SparkSession, path: str) -> ChangeTable:
+    """Conditions by series and time; a repeated one counts once."""
+    return ChangeTable(spark, path, CONDITION, ["series", "ts"], "ts")
+
+
+def condition_stream(conditions: DataFrame, table: ChangeTable, checkpoint: str):
+    """Start keeping ``(series, ts, active)`` rows in any order of arrival. ``alert_states`` over the table gives the
+    states; what is older than the longest holding time may be dropped from it."""
+    return _run(conditions, lambda batch, batch_id: table.put(batch, batch_id), checkpoint)

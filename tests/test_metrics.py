@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from grantflow.operators import alerts as al
+from grantflow.plans.alert_rules import SERVICE_RULES
 from grantflow.operators import metrics as me
 
 SAMPLE = "name string, series string, s int, value double"
@@ -96,10 +97,10 @@ def test_every_rule_fires_on_its_own_data(spark):
     def series(name, labels, fn):
         rows.extend((name, labels, 15 * i, float(fn(i))) for i in range(81))
 
-    series("grpc_server_handled_total", {"grpc_code": "Internal"}, lambda i: 3 * i)
+    series("spicedb_grpc_server_handled_total", {"grpc_code": "Internal"}, lambda i: 3 * i)
     for le, share in (("0.5", 0), ("2", 1), ("+Inf", 1)):
-        series("grpc_server_handling_seconds_bucket", {"le": le}, lambda i, share=share: 5 * i * share)
-    for job in ("authz", "redis", "postgres", "kafka"):
+        series("spicedb_grpc_server_handling_seconds_bucket", {"le": le}, lambda i, share=share: 5 * i * share)
+    for job in ("spicedb", "redis", "postgres", "kafka"):
         series("up", {"job": job}, lambda i: 0)
     series("redis_keyspace_hits_total", {}, lambda i: i)
     series("redis_keyspace_misses_total", {}, lambda i: 3 * i)
@@ -118,5 +119,25 @@ def test_every_rule_fires_on_its_own_data(spark):
     series("node_filesystem_size_bytes", {"instance": "n"}, lambda i: 100)
     df = spark.createDataFrame(rows, "name string, labels map<string,string>, s int, value double")
     df = df.select("name", "labels", F.timestamp_seconds("s").alias("ts"), "value")
-    fired = al.evaluate_rules(df).where("state = 'firing'").select("alert").distinct()
-    assert {r.alert for r in fired.collect()} == {r.alert for r in al.RULE_SET}
+    fired = al.evaluate_rules(df, spark.createDataFrame(SERVICE_RULES, al.RULE_COLUMNS)).where("state = 'firing'").select("alert").distinct()
+    assert {r.alert for r in fired.collect()} == {r.alert for r in SERVICE_RULES}
+
+
+def test_a_missing_series_starts_a_new_run(spark):
+    rows = [("s", s, True) for s in (0, 30, 60, 86_400, 86_430, 86_460)]
+    df = spark.createDataFrame(rows, "series string, s int, active boolean").withColumn("ts", F.timestamp_seconds("s"))
+    got = [r.state for r in al.alert_states(df, 60, step_s=30).orderBy("ts").collect()]
+    assert got == ["pending", "pending", "firing"] * 2
+
+
+def test_absent_labels_group_and_inhibit(spark):
+    rows = [
+        ("A", None, None, "critical", 0, "x"), ("A", None, None, "warning", 0, "y"), ("A", "c", None, "warning", 0, "z"),
+        ("A", None, None, "warning", 50, "u"), (None, None, "s", "warning", 0, "v"), ("A", None, None, "warning", -5, "t"),
+    ]
+    df = spark.createDataFrame(rows, "alertname string, cluster string, service string, severity string, s int, series string")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    groups = {(r.alertname, r.cluster, r.service, r.s): r.alerts for r in al.group_alerts(df).withColumn("s", F.unix_timestamp("ts")).collect()}
+    assert groups == {("A", "", "", 0): 2, ("A", "c", "", 0): 1, ("A", "", "", 50): 1, ("", "", "s", 0): 1, ("A", "", "", -5): 1}
+    assert {r.series for r in al.inhibit(df).collect()} == {"x", "z", "u", "v", "t"}
+    assert {r.series for r in al.inhibit(df, within_s=60).collect()} == {"x", "z", "v", "t"}
