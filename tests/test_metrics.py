@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from grantflow.operators import alerts as al
 from grantflow.plans.alert_rules import SERVICE_RULES
+from grantflow.session import literal_table
 from grantflow.operators import metrics as me
 
 SAMPLE = "name string, series string, s int, value double"
@@ -119,7 +120,7 @@ def test_every_rule_fires_on_its_own_data(spark):
     series("node_filesystem_size_bytes", {"instance": "n"}, lambda i: 100)
     df = spark.createDataFrame(rows, "name string, labels map<string,string>, s int, value double")
     df = df.select("name", "labels", F.timestamp_seconds("s").alias("ts"), "value")
-    fired = al.evaluate_rules(df, spark.createDataFrame(SERVICE_RULES, al.RULE_COLUMNS)).where("state = 'firing'").select("alert").distinct()
+    fired = al.evaluate_rules(df, literal_table(spark, SERVICE_RULES, al.RULE_COLUMNS)).where("state = 'firing'").select("alert").distinct()
     assert {r.alert for r in fired.collect()} == {r.alert for r in SERVICE_RULES}
 
 
