@@ -20,9 +20,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int, share: float) -> DataFrame:
-    """Keys holding at least ``share`` of ``rows``. There are at most ``1/share`` of them."""
-    return df.groupBy(*keys).count().filter(F.col("count") >= F.lit(max(1.0, rows * share))).select(*keys)
+#: Rows of one key that a task may get; a key with more is spread over as many tasks as that takes.
+ROWS_PER_TASK = 5_000_000
+
+#: Least bytes of a row in the optimizer's estimate.
+ROW_BYTES = 16
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows and the ``_ways`` to spread them over. There are at most
+    ``rows / rows_per_task`` of them."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    return counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_ways"))
 
 
 def spread_join(
@@ -32,43 +41,28 @@ def spread_join(
     *,
     how: str = "inner",
     rows: int | None = None,
-    share: float = 0.01,
-    ways: int = 64,
-    min_rows: int = 5_000_000,
-    min_bytes: int = 512 * 1024 * 1024,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join where single keys of ``big`` may hold a large share of its rows.
 
-    Rows of hot keys are spread over ``ways`` salts and the matching rows of ``other`` are repeated once per
-    salt, so a hot key is worked on by many tasks. Other keys join as usual. Below ``min_rows`` a plain join
-    is used; when ``rows`` is not given and the estimated size is below ``min_bytes``, so is it, without a
-    count. The list of hot keys has at most ``1/share`` rows, which bounds its broadcast.
+    A key with more than ``rows_per_task`` rows is spread over as many salts as its count asks for, and the matching
+    rows of ``other`` are repeated once per salt; other keys join as usual. Keys are not counted where the number of
+    rows, or an upper bound of it from the optimizer's estimate, shows that none can have so many.
     ``how`` may be inner, left, left_semi or left_anti (``big`` is the left side).
     """
     if rows is None:
-        if estimated_bytes(big) < min_bytes:
-            return big.join(other, on, how)
-        rows = big.count()
-    if rows < min_rows:
+        rows = estimated_bytes(big) // ROW_BYTES
+    if rows <= rows_per_task:
         return big.join(other, on, how)
-    hot = hot_keys(big, on, rows, share).withColumn("_hot", F.lit(True))
+    hot = hot_keys(big, on, rows_per_task)
     found = hot.collect()
     if not found:
         return big.join(other, on, how)
-    hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
+    hot = bounded_broadcast(big.sparkSession.createDataFrame(found, hot.schema), len(found))
     rest = [c for c in big.columns if c not in on] or on
-    salt = F.pmod(F.xxhash64(*rest), F.lit(ways)).cast("int")
-    left = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    ).drop("_hot")
-    right = (
-        other.join(hot, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
-    )
+    ways = F.coalesce("_ways", F.lit(1))
+    left = big.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*rest), ways).cast("int")).drop("_ways")
+    right = other.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -1,22 +1,16 @@
-"""Registered queries against their SQL. The ones with many rounds run when ALL_QUERIES=1."""
-
-import os
+"""Registered queries against their SQL."""
 
 import pytest
 
 import __spark_entry__ as entry
+from grantflow.plans import QUERIES
 
 from .conftest import SMALL
 from .oracle import compare, connect
 
-MANY_ROUNDS = (
-    "g06", "g10", "g11", "g12", "g13", "g14", "g15", "g16", "g22", "m10", "t12", "t17",
-)
-
-
 def names():
-    every = bool(os.environ.get("ALL_QUERIES"))
-    return [n for n in entry.queries() if every or not n.startswith(MANY_ROUNDS)]
+    """All queries but those of the optional subpackage, which has tests of its own."""
+    return list(QUERIES)
 
 
 @pytest.fixture(scope="module")

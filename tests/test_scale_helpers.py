@@ -20,7 +20,7 @@ def test_spread_join_equals_join(spark):
     other = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     other = other.where("k % 7 <> 3").unionByName(other.where("k = 0"))
     for how in ("inner", "left", "left_semi", "left_anti"):
-        got = spread_join(big, other, ["k"], how=how, share=0.1, ways=8, min_rows=1, min_bytes=0)
+        got = spread_join(big, other, ["k"], how=how, rows=3000, rows_per_task=200)
         want = big.join(other, ["k"], how)
         assert got.columns == want.columns
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
@@ -29,9 +29,18 @@ def test_spread_join_equals_join(spark):
 def test_spread_join_splits_the_hot_key(spark):
     big = skewed(spark)
     other = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    plan = spread_join(big, other, ["k"], share=0.1, ways=8, min_rows=1, min_bytes=0)._jdf.queryExecution().toString()
+    plan = spread_join(big, other, ["k"], rows=3000, rows_per_task=200)._jdf.queryExecution().toString()
     assert "_salt" in plan
-    assert "_salt" not in spread_join(big, other, ["k"], share=0.9, min_rows=1, min_bytes=0)._jdf.queryExecution().toString()
+    assert "_salt" not in spread_join(big, other, ["k"], rows=3000, rows_per_task=2000)._jdf.queryExecution().toString()
+
+
+def test_spread_join_bounds_the_rows_of_a_salt(spark):
+    from grantflow.functions.skew import hot_keys
+
+    hot = hot_keys(skewed(spark), ["k"], 200).collect()
+    assert [tuple(r) for r in hot] == [(0, 5)]
+    big = skewed(spark).where("k = 0").withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(5)))
+    assert max(r["count"] for r in big.groupBy("_salt").count().collect()) < 300
 
 
 def test_chunked_neighbours_and_running_values(spark):
