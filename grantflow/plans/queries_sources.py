@@ -12,7 +12,7 @@ from ..model import SCHEMA_IMAGE
 from ..operators import select as se
 from ..session import cut_table, literal_table, shared_folder
 from ..sources import cdc, directory, metrics, sinks
-from ..sources.tuples import parse_tuple_text, read_tuples_nested
+from ..sources.tuples import parse_tuple_text, read_tuples_nested, read_tuples_text
 from ..streaming.jobs import read_event_stream
 from .catalog import query
 from .derived import (
@@ -65,6 +65,27 @@ def s01(spark, sf):
     return parse_tuple_text(text)
 
 
+@query(
+    "s01_tuples_read",
+    f"""WITH {GRAPH_SQL} SELECT {TUP} FROM tup LEFT JOIN supplier ON res_type = 'rbac/group' AND sub_id = 'u'||s_suppkey
+    WHERE NOT coalesce(res_type = 'rbac/group' AND sub_rel = '' AND s_acctbal < 0, false)""",
+)
+def s01b(spark, sf):
+    """The same texts written as JSON Lines and read back; malformed ones are left out."""
+    poor = table(spark, sf, "supplier").where("s_acctbal < 0").select(
+        tag("u", "s_suppkey").alias("sub_id"), F.lit(GROUP).alias("res_type"), F.lit(True).alias("bare")
+    )
+    full = F.concat_ws(":", "sub_type", "sub_id")
+    text = graph(spark, sf).join(poor, ["sub_id", "res_type"], "left").select(
+        F.concat_ws(":", "res_type", "res_id").alias("resource"), "relation",
+        F.when(F.col("sub_rel") != "", F.concat_ws("#", full, F.col("sub_rel"))).when(F.col("bare"), F.col("sub_id"))
+        .otherwise(full).alias("subject"),
+    )
+    path = f"{shared_folder(spark)}/tuples-{uuid.uuid4().hex}"
+    text.write.json(path)
+    return read_tuples_text(spark, path, lines=True)
+
+
 @query("s02_tuples_from_nested", f"WITH {GRAPH_SQL} SELECT {TUP} FROM tup")
 def s02(spark, sf):
     def obj(kind, id_):
@@ -173,8 +194,11 @@ def outbox(spark, sf):
     'v1beta2' AS version FROM orders""",
 )
 def s07(spark, sf):
-    return cdc.route_outbox(outbox(spark, sf), "edge").select(
-        "event_id", "topic", "key", "event_type", "payload.workspace_id",
+    """Outbox messages written by topic and read back."""
+    path = f"{shared_folder(spark)}/topics-{uuid.uuid4().hex}"
+    sinks.write_by_topic(cdc.route_outbox(outbox(spark, sf), "edge"), path)
+    return spark.read.parquet(path).select(
+        "event_id", "topic", "key", "event_type", F.col("payload")["workspace_id"].alias("workspace_id"),
         F.col("headers")["operation"].alias("operation"), F.col("headers")["version"].alias("version"),
     )
 
@@ -299,7 +323,9 @@ def s11b(spark, sf):
 )
 def s12(spark, sf):
     ev = events(spark, sf).select(F.col("event_type").alias("method"), tag("u", "user_id").alias("user"), "ts", "value")
-    return metrics.to_samples(ev, "load", ["method", "user"]).select(
+    path = f"{shared_folder(spark)}/samples-{uuid.uuid4().hex}"
+    metrics.to_samples(ev, "load", ["method", "user"]).write.parquet(path)
+    return metrics.read_samples(spark, path).select(
         "name", F.col("labels")["method"].alias("method"), F.col("labels")["user"].alias("user"),
         F.unix_micros("ts").alias("at_us"), "value",
     )
@@ -371,7 +397,10 @@ def s15(spark, sf):
     strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day FROM env""",
 )
 def s16(spark, sf):
-    return sinks.audit_log(cdc.decode_envelope(envelope_json(spark, sf)))
+    """Audit rows written by day and read back."""
+    rows, path = sinks.audit_log(cdc.decode_envelope(envelope_json(spark, sf))), f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
+    sinks.write_audit(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import DEVICE_PAYLOAD, FLAT_CDC, RELATION_IMAGE, RESOURCE_PAYLOAD, envelope
+from ..model import FLAT_CDC, RELATION_IMAGE, RESOURCE_PAYLOAD, envelope
 
 # Operation codes and their names.
 OPERATIONS = {"c": "CREATE", "u": "UPDATE", "d": "DELETE", "r": "READ"}
@@ -75,14 +75,18 @@ def route_regex(topic: Column) -> Column:
 
 
 def route_outbox(df: DataFrame, prefix: str, header_cols: tuple[str, ...] = ("operation", "version")) -> DataFrame:
-    """Outbox inserts as messages ``(event_id, topic, key, payload, headers)``. Updates and deletes route nothing."""
+    """Outbox inserts as messages ``(event_id, topic, key, event_type, payload, value, headers)``; others route nothing.
+
+    ``value`` is the payload as it came, ``payload`` its top-level fields as a map of texts (inner objects stay JSON),
+    so payloads of any aggregate type keep all their fields.
+    """
     headers = F.map_from_arrays(
         F.array(*[F.lit(c) for c in header_cols]), F.array(*[F.col(c) for c in header_cols])
     )
     return df.where("op = 'c'").select(
         F.col("id").alias("event_id"), F.concat(F.lit(f"outbox.event.{prefix}."), "aggregatetype").alias("topic"),
         F.col("aggregateid").alias("key"), F.col("type").alias("event_type"),
-        F.from_json("payload", DEVICE_PAYLOAD).alias("payload"), headers.alias("headers"),
+        F.from_json("payload", "map<string,string>").alias("payload"), F.col("payload").alias("value"), headers.alias("headers"),
     )
 
 

@@ -38,8 +38,9 @@ ROLE_CONFIG = T.StructType([T.StructField("roles", T.ArrayType(T.StructType([*_R
 VERB = "array<struct<verb: string, description: string, requires: array<string>>>"
 
 
-def read_directory(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DIRECTORY).json(path, multiLine=True)
+def read_directory(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Directory documents, each a file, or with ``lines`` each a line (JSON Lines, which Spark splits)."""
+    return spark.read.schema(DIRECTORY).json(path, multiLine=not lines)
 
 
 def flatten_principals(df: DataFrame) -> dict[str, DataFrame]:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def split_dlq(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
     """``(good, dead letters)``. ``error`` is null for good rows; a dead letter keeps key, original event and text."""
     marked = df.withColumn("_error", error)
@@ -29,9 +28,15 @@ def audit_log(df: DataFrame) -> DataFrame:
     )
 
 
-def write_audit(df: DataFrame, path: str) -> None:
-    """Append audit rows by day; rows of one day are spread over several files by resource."""
-    df.write.mode("append").partitionBy("day").parquet(path)
+def write_audit(df: DataFrame, path: str, files_per_day: int = 8) -> None:
+    """Append audit rows by day; rows of one day are spread over up to ``files_per_day`` files by resource."""
+    spread = F.pmod(F.xxhash64("resource"), F.lit(files_per_day))
+    df.repartition("day", spread).write.mode("append").partitionBy("day").parquet(path)
+
+
+def write_by_topic(df: DataFrame, path: str) -> None:
+    """Append messages into one folder per topic."""
+    df.write.mode("append").partitionBy("topic").parquet(path)
 
 
 def search_index_view(df: DataFrame, order: str = "lsn") -> DataFrame:

@@ -24,9 +24,12 @@ def parse_tuple_text(df: DataFrame) -> DataFrame:
     )
 
 
-def read_tuples_text(spark: SparkSession, path: str) -> DataFrame:
-    """Tuples from JSON arrays of ``{resource, relation, subject}``; arrays may span lines."""
-    raw = spark.read.schema("resource string, relation string, subject string").json(path, multiLine=True)
+def read_tuples_text(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Tuples from JSON arrays of ``{resource, relation, subject}``; arrays may span lines, so a file is one task.
+
+    ``lines=True`` reads JSON Lines, which Spark splits.
+    """
+    raw = spark.read.schema("resource string, relation string, subject string").json(path, multiLine=not lines)
     return parse_tuple_text(raw).where("valid").select(*TUPLE_COLS)
 
 
