@@ -30,7 +30,7 @@ ORDERS = (3, 4, 5)
 BUCKETS, WIDTH = 1 << 16, 12
 
 #: Bound of the training sample: documents per language, and pieces cut from each.
-SAMPLE_DOCS, SAMPLE_PIECES = 1200, 5
+SAMPLE_DOCS, SAMPLE_PIECES = 800, 5
 
 #: Fewest gradient steps; a small sample is gone through more often.
 LEAST_STEPS = 500
@@ -72,16 +72,20 @@ def subwords(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         if k + 1 in ORDERS:
             good = np.flatnonzero(index[: len(code)] + k <= ends[: len(code)])
             hashed = (code[good] + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - BUCKETS.bit_length())
-            found.append((hashed.astype(np.int64), np.searchsorted(good, bounds)))
+            found.append((hashed.astype(np.int32), np.searchsorted(good, bounds)))
     return found
 
 
-def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Subwords of all lengths of a text, one after the other."""
-    texts = len(parts[0][1]) - 1
-    owner = np.concatenate([np.repeat(np.arange(texts), np.diff(at)) for _, at in parts])
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate([b for b, _ in parts])[order], np.searchsorted(owner[order], np.arange(texts + 1))
+def joined(texts: list[str | None], at_once: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+    """Subwords of all lengths of each text, one text after the other, and the offsets of the texts."""
+    found, sizes = [], []
+    for i in range(0, len(texts), at_once):
+        part = texts[i : i + at_once]
+        parts = subwords(part)
+        owner = np.concatenate([np.repeat(np.arange(len(part)), np.diff(at)) for _, at in parts])
+        found.append(np.concatenate([b for b, _ in parts])[np.argsort(owner, kind="stable")])
+        sizes.append(np.bincount(owner, minlength=len(part)))
+    return np.concatenate(found), np.append(0, np.cumsum(np.concatenate(sizes)))
 
 
 def train(pieces: list[str], labels: list[str], held: np.ndarray, *, epochs: int = 4, batch: int = 128, rate: float = 2.0, seed: int = 42) -> Model | None:
@@ -90,7 +94,7 @@ def train(pieces: list[str], labels: list[str], held: np.ndarray, *, epochs: int
     if not langs:
         return None
     y = np.searchsorted(np.array(langs, object), np.array(labels, object))
-    buckets, at = joined(subwords(pieces))
+    buckets, at = joined(pieces)
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
     layer, bias = np.zeros((WIDTH, len(langs)), np.float32), np.zeros(len(langs), np.float32)
@@ -115,8 +119,10 @@ def train(pieces: list[str], labels: list[str], held: np.ndarray, *, epochs: int
             bias -= now / len(rows) * p.sum(0).astype(np.float32)
             np.add.at(embed, chosen, -now / len(rows) * np.repeat(back, size, axis=0))
     model = Model(langs, (embed @ layer).astype(np.float32), bias, 1.0, 0.0)
-    check = np.flatnonzero(held & (np.diff(at) > 0)) if held.any() else fit
-    return calibrate(model, sums(model.table[buckets], at), np.diff(at), y, check)
+    check = np.flatnonzero(held & (np.diff(at) > 0)) if held.any() else np.sort(fit)
+    size = np.diff(at)[check]
+    totals = sums(model.table[buckets[ranges(at[check], size)]], np.append(0, np.cumsum(size)))
+    return calibrate(model, totals / np.maximum(size, 1)[:, None] + bias, y[check])
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -124,17 +130,16 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
-def calibrate(model: Model, totals: np.ndarray, size: np.ndarray, y: np.ndarray, rows: np.ndarray, lost: float = 0.001) -> Model:
-    """The temperature of least log loss on ``rows``, and the score under which at most ``lost`` of those it names
-    rightly would be rejected (and never more than one half)."""
-    if not len(rows):
+def calibrate(model: Model, logits: np.ndarray, y: np.ndarray, lost: float = 0.001) -> Model:
+    """The temperature of least log loss on texts with known language, and the score under which at most ``lost`` of
+    those it names rightly would be rejected (and never more than one half)."""
+    if not len(y):
         return model
-    logits = totals[rows] / size[rows, None] + model.bias
     grid = np.geomspace(0.05, 5, 60)
-    losses = [-np.log(softmax(logits / t)[np.arange(len(rows)), y[rows]] + 1e-12).mean() for t in grid]
+    losses = [-np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
     best = float(grid[int(np.argmin(losses))])
     p = softmax(logits / best)
-    right = p.max(1)[p.argmax(1) == y[rows]]
+    right = p.max(1)[p.argmax(1) == y]
     return model._replace(temperature=best, reject_below=min(0.5, float(np.quantile(right, lost)) if len(right) else 0.0))
 
 
