@@ -5,20 +5,14 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .session import literal_table
 
 TUPLE_COLS = ["res_type", "res_id", "relation", "sub_type", "sub_id", "sub_rel"]
-NODE_COLS = ["type", "id", "name"]
-SUBJECT_COLS = ["sub_type", "sub_id"]
 LIVE_XID = 9223372036854775807  # fixed value: deleted_xid of a live tuple
 
 TUPLES = T.StructType([T.StructField(c, T.StringType()) for c in TUPLE_COLS])
-VERSIONS = T.StructType(
-    list(TUPLES.fields) + [T.StructField("created_xid", T.LongType()), T.StructField("deleted_xid", T.LongType())]
-)
 
 _TYPE = T.StructType([T.StructField("namespace", T.StringType()), T.StructField("name", T.StringType())])
 _OBJECT = T.StructType([T.StructField("type", _TYPE), T.StructField("id", T.StringType())])
@@ -69,12 +63,6 @@ SCHEMA_IMAGE = T.StructType(
         T.StructField("created_xid", T.StringType()),
     ]
 )
-DEVICE_PAYLOAD = T.StructType(
-    [
-        T.StructField(n, T.StringType())
-        for n in ("type", "id", "display_name", "workspace_id", "reporter", "org_id", "operation")
-    ]
-)
 RESOURCE_PAYLOAD = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("type", "id", "displayName", "workspaceId")]
     + [
@@ -153,10 +141,6 @@ RULES = T.StructType(
 )
 
 
-def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    return literal_table(spark, list(rules), RULES)
-
-
 def rules_list(df: DataFrame) -> list[Rule]:
     """Rules kept in a table; a model has as many rows as it has terms."""
     return [Rule(*r) for r in df.select(*RULES.names).distinct().collect()]
@@ -164,7 +148,3 @@ def rules_list(df: DataFrame) -> list[Rule]:
 
 def tuples_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return literal_table(spark, rows, TUPLES)
-
-
-def object_key(type_col: str = "res_type", id_col: str = "res_id"):
-    return F.concat_ws(":", F.col(type_col), F.col(id_col))

@@ -186,8 +186,9 @@ log AS (
 )"""
 
 
-def flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log as flattened JSON messages ``(key, value)``; purchases with value over 200 are cut short."""
+def flat_json(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The change log as flattened JSON messages ``(key, value)`` with the event columns to ``keep``; purchases with
+    value over 200 are cut short."""
     ev = events(spark, sf_dir)
     body = F.to_json(
         F.struct(
@@ -205,7 +206,7 @@ def flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = (F.col("event_type") == "purchase") & (F.col("value") > 200)
     return ev.withColumn("body", body).select(
         F.col("event_id").alias("key"),
-        F.when(broken, F.substring("body", 1, 40)).otherwise(F.col("body")).alias("value"),
+        F.when(broken, F.substring("body", 1, 40)).otherwise(F.col("body")).alias("value"), *keep,
     )
 
 

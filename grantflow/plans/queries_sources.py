@@ -357,8 +357,7 @@ def s13(spark, sf):
 
 def messages(spark, sf):
     """The change log as messages with topic, partition, offset, time and headers."""
-    ev = events(spark, sf)
-    return flat_json(spark, sf).join(ev.select(F.col("event_id").alias("key"), "ts", "event_type", "user_id"), "key").select(
+    return flat_json(spark, sf, "ts", "event_type", "user_id").select(
         F.when(F.col("event_type") == "view", "roles.events").otherwise("workspaces.events").alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"), F.col("key").alias("offset"),
         F.col("ts").alias("timestamp"), F.col("key").cast("string").alias("key"), "value",

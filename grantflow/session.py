@@ -11,14 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Settings a cluster run should start with; nothing here depends on data size.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-}
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for cut lineage: ``spark.checkpoint.dir``, else the context's checkpoint folder.
