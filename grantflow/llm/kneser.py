@@ -28,7 +28,7 @@ from .simhash import LOWER, SPACE
 from .suffixes import Hashes
 
 #: Tokens counted in one go, and bytes of text scored in one go.
-COUNTED, SCORED = 6_000_000, 1 << 23
+COUNTED, SCORED = 2_000_000, 1 << 22
 
 #: Bytes of training text per shard, and the most shards of a family (a power of two).
 SHARD_BYTES, MOST_SHARDS = 12_000_000, 1 << 16
