@@ -38,6 +38,9 @@ HOT_ROWS, HOT_SHARE = 100_000, 1e-4
 #: One in so many documents is read to expect the number of rows of a lead; this affects balance alone.
 HOT_SAMPLE = 256
 
+#: Bytes of text whose anchors are sought in one go, and anchors of equal leads settled in one go.
+SOUGHT, SETTLED = 1 << 20, 1 << 18
+
 #: Anchors compared byte by byte at a time.
 COMPARED = 16_384
 
@@ -119,7 +122,7 @@ def _anchor_rows(hot: np.ndarray, length: int, lead: int):
     """Rows ``(key, around, id, seq, packed, done)``; ``done`` rows are repeats already, all others are not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches, "_text"):
+        for batch in text_blocks(batches, "_text", SOUGHT):
             flat, offsets = text_bytes(batch.column("_text"))
             hashes, at, start, strings = anchors(flat, offsets, length, lead)
             key = hashes.of(at, lead).view(np.int64)
@@ -151,7 +154,7 @@ def _anchor_rows(hot: np.ndarray, length: int, lead: int):
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of anchors with one lead: rows of equal surroundings but the first are repeats; the first ones stay open if the
     lead has several surroundings."""
-    for table in key_runs(batches, ["key"], 1 << 19):
+    for table in key_runs(batches, ["key"], SETTLED):
         key, around, ids, seq, packed = (table[c].to_numpy() for c in ("key", "around", "_id", "_seq", "packed"))
         done = table["done"].to_numpy(zero_copy_only=False)
         known = np.flatnonzero(done)
