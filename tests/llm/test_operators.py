@@ -69,6 +69,24 @@ def test_blocks_decode_and_join():
     assert [b.text for b in dom.blocks("1 < 2 and 3 > 2")] == ["1 < 2 and 3 > 2"]
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<p>a</p><svg-icon name=x></svg-icon><p>b</p>", ["a", "b"]),
+    ("<title-bar>a</title-bar><template-x><p>b</p></template-x><p>c", ["a", "b", "c"]),
+    ("<p>a <svg class=i/> b <math/> c</p><p>d", ["a b c", "d"]),
+    ("<div>a<object data=x></div><div>b<svg><path d=z></div><p>c", ["a", "b", "c"]),
+    ("<div>a<noscript>x</div><p>b</p><noscript>y</noscript><p>c", ["a", "b", "c"]),
+    ("<div>a<noscript>b<p>c</div><p>d", ["ab", "c", "d"]),
+    ("<svg><svg><path/></svg><title>x</title></svg><p>a", ["a"]),
+    ("<svg><title>x<path><p>a</p><p>b", ["a", "b"]),
+    ("<p>if <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x</annotation></math> then</p>", ["if x=2 then"]),
+    ("<svg><text>a</text><text>b</text><style>x</style></svg><template><p>x</p></template><p>c", ["a b", "c"]),
+    ("<svg><foreignObject><p>a</p></foreignObject><text>b</text></svg>c", ["a", "b c"]),
+    ("a<!-->b<!-- x --!>c<iframe>x</iframe>d<style>x</style >e<script>x</scripts></script y>f", ["abcdef"]),
+])
+def test_blocks_are_not_cut_by_hidden_elements(page, texts):
+    assert [b.text for b in dom.blocks(page)] == texts
+
+
 def test_field_finds_main_text_of_unseen_layouts(spark):
     sample = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("html").collect()]
     pages, labels = mainpage.labelled_pages(sample[:30], layouts=8)
