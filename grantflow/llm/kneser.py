@@ -1,10 +1,15 @@
-"""Interpolated modified Kneser-Ney language model of word pairs.
-
-Counting is Spark work: tasks count the words and word pairs of their documents, deal the counts in packed blocks to
-shards by the leading bits of hashes, and each shard is summed, sorted and written as arrays to the shared folder.
-Scoring tasks memory-map these arrays and find words and pairs by binary search. A word is its 64-bit hash; in pairs
-it is known by the upper 32 bits. Pairs lie in the shard of their first word; those of very frequent first words, in
-which a shard would drown, in a second family of shards by the second word.
+"""Interpolated modified Kneser-Ney language model of any order from two on.
+
+Counting is Spark work: tasks count the words of their documents, and then the runs of ``order`` words, and deal the
+counts in packed blocks to shards. Each shard is summed, sorted and written as arrays to the shared folder, and passes
+on in how many contexts the shorter runs occur, which are the counts of the level below. Scoring tasks memory-map these
+arrays and find words and runs by binary search. A word is found by its 64-bit hash and is a dense 32-bit number in
+runs; contexts of one or two words are these numbers, longer ones a 64-bit hash of them. A run lies in the shard of the
+word before its last one; if that is very frequent and would drown a shard, in that of the two words before, and so on,
+and if the whole context is as frequent, in a second family of shards by the last word.
+
+The first words of a text have fewer words before them. Their contexts begin with the beginning of the text, and their
+own counts count at the level of that length.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import types as T
 
 from grantflow.session import cut, shared_folder
 
-from .common import ranges, sums, text_blocks, text_bytes, text_of
+from .common import mix64, ranges, sums, text_blocks, text_bytes, text_of
 from .simhash import LOWER, SPACE
 from .suffixes import Hashes
 
@@ -33,28 +38,40 @@ COUNTED, SCORED = 2_000_000, 1 << 22
 #: Bytes of training text per shard, and the most shards of a family (a power of two).
 SHARD_BYTES, MOST_SHARDS = 12_000_000, 1 << 16
 
-#: A first word with more than this share of all tokens is dealt by the second word.
+#: A context with more than this share of all tokens is dealt by more words.
 HOT_SHARE = 1e-3
 
 #: Frequent words that each shard reports as possibly hot.
 REPORTED = 64
 
-#: Hashes of the end of a text, and of its beginning (which is only a context).
-END, BEGIN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
+#: Bytes of text from which frequent contexts are sought in a sample of about that size; it affects balance alone.
+HOT_SAMPLE = 1 << 26
+
+#: Contexts of more words than this have the sums of their counts stored.
+SUMMED = 16
+
+#: Hash of the end of a text. Numbers of the beginning (which is only a context) and of words not in the model.
+END, BEGIN, UNKNOWN = np.uint64(0x9D39247E33776D41), np.uint32(0xFFFFFFFE), np.uint32(0xFFFFFFFF)
 
 
 class Meta(NamedTuple):
-    """What scoring needs besides the arrays: totals, discounts per level, and hot contexts with their sums."""
+    """What scoring needs besides the arrays: totals, discounts per level, and hot contexts with their sums.
+
+    ``first`` has the number of the first word of each shard of words. ``hot`` and ``hot_sums`` are by length of the
+    context, ``discounts`` by length of the run.
+    """
 
     folder: str
     bits: int
+    first: np.ndarray
+    order: int
     tokens: int
     types: int
     pairs: int
-    discounts: tuple[list[float], list[float]]
+    discounts: list[list[float]]
     levels: list[int]
-    hot: np.ndarray
-    hot_sums: np.ndarray
+    hot: list[np.ndarray]
+    hot_sums: list[tuple[np.ndarray, np.ndarray]]
 
 
 def tokens(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,11 +93,45 @@ def tokens(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, at
 
 
-def contexts(token: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The token before each token, the beginning for the first of a text."""
-    before = np.append(BEGIN, token[:-1])
-    before[at[:-1]] = BEGIN
-    return before
+def runs_of(ids: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
+    """Columns of the ``order`` words up to each token, with the beginning before the first of a text."""
+    place = np.arange(len(ids)) - np.repeat(at[:-1], np.diff(at))
+    return [np.where(place < d, BEGIN, np.roll(ids, d)) for d in range(order - 1, 0, -1)] + [ids]
+
+
+def context_key(columns: list[np.ndarray]) -> np.ndarray:
+    """One or two words as they are, more as a hash."""
+    key = columns[0].astype(np.uint64)
+    for i, c in enumerate(columns[1:]):
+        key = (mix64(key) * np.uint64(0x9E3779B97F4A7C15) if i else key << np.uint64(32)) + c
+    return key
+
+
+def among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which ``values`` are among the sorted ``keys``."""
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values if len(keys) else np.zeros(len(values), bool)
+
+
+def distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the runs by context and word, and where a new run begins in it."""
+    if len(columns) < 3:
+        key = context_key(columns)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = key[1:] != key[:-1]
+    else:
+        key, word = context_key(columns[:-1]), columns[-1]
+        order = np.lexsort((word, key))
+        key, word = key[order], word[order]
+        new = (key[1:] != key[:-1]) | (word[1:] != word[:-1])
+    return order, np.flatnonzero(np.append(True, new)) if len(order) else np.zeros(0, np.int64)
+
+
+def counted_runs(columns: list[np.ndarray], times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted distinct runs and how often they occur, or the sums of ``times``."""
+    order, first = distinct(columns)
+    bounds = np.append(first, len(order))
+    return [c[order[first]] for c in columns], (np.diff(bounds) if times is None else sums(times[order], bounds))
 
 
 def counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -119,11 +170,30 @@ def packed_counts(keys: np.ndarray, n: np.ndarray, shard: np.ndarray) -> pa.Reco
 PACKED = "shard int, keys binary, n binary"
 
 
-def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Summed counts of each shard, from rows sorted by shard."""
+def packed_runs(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
+    """One row per shard with its runs, column after column, and their counts; runs come sorted."""
+    order = np.argsort(shard, kind="stable")
+    shards, first = np.unique(shard[order], return_index=True)
+    pieces = [order[a:b] for a, b in zip(first, [*first[1:], len(order)])]
+    return pa.RecordBatch.from_arrays([
+        pa.array(shards.astype(np.int32)), pa.array([b"".join(planes(c[p]) for c in columns) for p in pieces], pa.binary()),
+        pa.array([planes(n[p].astype(np.uint32)) for p in pieces], pa.binary()),
+    ], names=["shard", "keys", "n"])
+
+
+def unpacked_runs(raw: bytes, width: int) -> list[np.ndarray]:
+    size = len(raw) // width
+    return [unplanes(raw[i * size : (i + 1) * size], np.uint32) for i in range(width)]
+
+
+def shards_of(batches: Iterator[pa.RecordBatch], width: int = 0) -> Iterator[tuple]:
+    """Summed counts of each shard, from rows sorted by shard: of words, or of runs of ``width`` words."""
     shard, held = None, []
 
     def done():
+        if width:
+            columns = [np.concatenate(c) for c in zip(*(unpacked_runs(k, width) for k, _ in held))]
+            return (shard, *counted_runs(columns, np.concatenate([unplanes(n, np.uint32) for _, n in held]).astype(np.int64)))
         keys = np.concatenate([unplanes(k, np.uint64) for k, _ in held])
         return (shard, *counted(keys, np.concatenate([unplanes(n, np.uint32) for _, n in held]).astype(np.int64)))
 
@@ -177,28 +247,36 @@ def count_of_counts(n: np.ndarray) -> list[int]:
     return [int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)]
 
 
-def discounts(levels: list[int]) -> list[float]:
-    """Discounts for counts of one, two, and three or more; kept between zero and the count where counts are scarce."""
+def discounts(levels: list[int], positive: bool = False) -> list[float]:
+    """Discounts for counts of one, two, and three or more; kept between zero and the count where counts are scarce.
+
+    With ``positive``, a zero becomes the usual discount: contexts with such counts alone would leave new words no chance.
+    """
+    usual = [0.5, 0.75, 0.9]
     n1, n2, n3, n4 = levels
     if not n1 or not n2:
-        return [0.5, 0.75, 0.9]
+        return usual
     y = n1 / (n1 + 2 * n2)
     raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return [min(max(d, 0.0), k) for k, d in enumerate(raw, 1)]
+    kept = [min(max(d, 0.0), k) for k, d in enumerate(raw, 1)]
+    return [d or u for d, u in zip(kept, usual)] if positive else kept
+
+
+def run_shard(columns: list[np.ndarray], bits: int, hot: list[np.ndarray]) -> np.ndarray:
+    """Shard of runs: by the shortest end of the context that is not hot, or else by the word, in the second family."""
+    shift = np.uint64(64 - bits)
+    shard = (1 << bits) + (mix64(columns[-1]) >> shift).astype(np.int64)
+    left = np.arange(len(shard))
+    for length in range(1, len(columns)):
+        key = context_key([c[left] for c in columns[-1 - length : -1]])
+        alone = among(key, hot[length])
+        shard[left[~alone]] = (mix64(key[~alone]) >> shift).astype(np.int64)
+        left = left[alone]
+    return shard
 
 
-def _count(kind: str, bits: int, hot: np.ndarray):
-    """Packed counts of the words, or of the pairs, of a task's documents."""
-
-    def emit(held):
-        if kind == "words":
-            keys, n = counted(np.concatenate([t for t, _ in held]))
-            return packed_counts(keys, n, keys >> np.uint64(64 - bits))
-        pairs = np.concatenate([contexts(t, at) >> np.uint64(32) << np.uint64(32) | t >> np.uint64(32) for t, at in held])
-        keys, n = counted(pairs)
-        shard = pair_shard(keys, bits, hot)
-        order = np.argsort(shard, kind="stable")
-        return packed_counts(keys[order], n[order], shard[order])
+def in_pieces(emit):
+    """``emit`` for about ``COUNTED`` tokens at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -214,13 +292,53 @@ def _count(kind: str, bits: int, hot: np.ndarray):
     return run
 
 
-def pair_shard(pairs: np.ndarray, bits: int, hot: np.ndarray) -> np.ndarray:
-    shard = (pairs >> np.uint64(64 - bits)).astype(np.int64)
-    if len(hot):
-        first = (pairs >> np.uint64(32)).astype(np.uint32)
-        alone = hot[np.minimum(np.searchsorted(hot, first), len(hot) - 1)] == first
-        shard[alone] = (1 << bits) + ((pairs[alone] & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - bits)).astype(np.int64)
-    return shard
+def _count_words(bits: int):
+    """Packed counts of the words of a task's documents."""
+
+    def emit(held):
+        keys, n = counted(np.concatenate([t for t, _ in held]))
+        return packed_counts(keys, n, keys >> np.uint64(64 - bits))
+
+    return in_pieces(emit)
+
+
+def joined(held: list, words: Words, order: int) -> list[np.ndarray]:
+    """Runs of all texts of ``held``."""
+    ids = words.ids(np.concatenate([t for t, _ in held]))
+    before = np.cumsum([0, *(len(t) for t, _ in held)])
+    return runs_of(ids, np.concatenate([[0], *(at[1:] + b for (_, at), b in zip(held, before))]), order)
+
+
+def _count_runs(place: tuple, order: int, hot: list[np.ndarray]):
+    """Packed counts of the runs of a task's documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(*place)
+
+        def emit(held):
+            columns, n = counted_runs(joined(held, words, order))
+            return packed_runs(columns, n, run_shard(columns, words.bits, hot))
+
+        return in_pieces(emit)(batches)
+
+    return run
+
+
+def _hot_contexts(place: tuple, length: int):
+    """Contexts with at least half of ``HOT_SHARE`` of the tokens counted in one go, and their counts."""
+    share = HOT_SHARE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(*place)
+
+        def emit(held):
+            keys, n = counted(context_key(joined(held, words, length + 1)[:-1]))
+            often = n > n.sum() * share / 2
+            return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["key", "n"])
+
+        return in_pieces(emit)(batches)
+
+    return run
 
 
 def _store_words(folder: str):
@@ -238,40 +356,60 @@ def _store_words(folder: str):
     return run
 
 
-def _store_pairs(folder: str, bits: int):
-    """Write the pairs of each shard by context; pass on how many contexts each second word has, and totals."""
+def _store_runs(folder: str, bits: int, width: int, hot: list[np.ndarray], first: np.ndarray):
+    """Write the runs of each shard by context; pass on in how many contexts the runs without the first word occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, keys, n in shards_of(batches):
-            first, second = (keys >> np.uint64(32)).astype(np.uint32), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            head = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
-            bounds = np.append(head, len(keys))
-            level = np.stack([n, n == 1, n == 2, n > 2], 1).astype(np.int64)
-            total = sums(level, bounds)
-            large = np.flatnonzero(n > 255)
-            write_arrays(f"{folder}/pairs-{shard}", first[head], bounds.astype(np.int64), total.ravel(), second, np.minimum(n, 255).astype(np.uint8), large, n[large])
-            word, times = counted(second.astype(np.uint64))
-            out = packed_counts(word, times, word >> np.uint64(32 - bits))
-            sums_ = [None] * out.num_rows
-            # The totals of the shard go with its first row; sums per context are needed where contexts are split.
-            sums_[0] = {"levels": count_of_counts(n), "pairs": len(n), "hot": first[head].astype(np.int64).tolist() if shard >= 1 << bits else [],
-                        "hot_sums": total.ravel().tolist() if shard >= 1 << bits else []}
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(sums_, TOTALS)], names=[*out.schema.names, "totals"])
+        for shard, columns, n in shards_of(batches, width):
+            rest = columns[1:]
+            # Runs padded with more than one beginning belong to the level below, with their own counts.
+            padded = (columns[0] == BEGIN) & (columns[1] == BEGIN) if width > 2 else np.zeros(len(n), bool)
+            below = counted_runs(rest, np.where(padded, n, 1))
+            context, second, n = context_key(columns[:-1])[~padded], columns[-1][~padded], n[~padded]
+            head = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(n) else np.zeros(0, np.int64)
+            bounds = np.append(head, len(n))
+            total = sums(np.stack([n, n == 1, n == 2, n > 2], 1).astype(np.int64), bounds)
+            large, many = np.flatnonzero(n > 255), np.flatnonzero(np.diff(bounds) > SUMMED)
+            write_arrays(f"{folder}/runs-{width}-{shard}", context[head], bounds.astype(np.uint32), many.astype(np.int64), total[many].ravel(),
+                         second, np.minimum(n, 255).astype(np.uint8), large, n[large])
+            alone = shard >= 1 << bits
+            write_arrays(f"{folder}/totals-{width}-{shard}", np.array([*count_of_counts(n), len(n)], np.int64),
+                         context[head] if alone else context[:0], total.ravel() if alone else total[:0].ravel())
+            yield packed_runs(*below, run_shard(below[0], bits, hot) if width > 2 else word_shard(below[0][0], first))
 
     return run
 
 
-TOTALS = pa.struct([("levels", pa.list_(pa.int64())), ("pairs", pa.int64()), ("hot", pa.list_(pa.int64())), ("hot_sums", pa.list_(pa.int64()))])
-TOTALS_DDL = "struct<levels:array<bigint>,pairs:bigint,hot:array<bigint>,hot_sums:array<bigint>>"
+def _totals(folder: str, bits: int):
+    """Totals per shard, and the sums of contexts that are split over shards."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in batch.column("id").to_pylist():
+                width, shard = divmod(at, 2 << bits)
+                levels, key, total = read_arrays(f"{folder}/totals-{width + 2}-{shard}", np.int64, np.uint64, np.int64)
+                if len(levels):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([width + 2], pa.int32()), pa.array([levels.tolist()]), pa.array([key.view(np.int64).tolist()], pa.list_(pa.int64())),
+                        pa.array([total.tolist()], pa.list_(pa.int64())),
+                    ], names=["width", "levels", "hot", "hot_sums"])
+
+    return run
+
+
+def word_shard(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.searchsorted(first, ids, "right") - 1
 
-def _store_continuations(folder: str):
-    """Write in how many contexts each word occurs; report counts of these counts."""
+
+def _store_continuations(folder: str, first: np.ndarray):
+    """Write in how many contexts each word of a shard occurs; report counts of these counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, keys, n in shards_of(batches):
-            write_arrays(f"{folder}/continuations-{shard}", keys.astype(np.uint32), n)
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([[*count_of_counts(n), int(np.count_nonzero(n > 2))]])], names=["shard", "levels"])
+        for shard, (ids,), n in shards_of(batches, 1):
+            times = np.zeros(first[shard + 1] - first[shard], np.int64)
+            times[ids - first[shard]] = n
+            write_arrays(f"{folder}/continuations-{shard}", times)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([[*count_of_counts(n), int(np.count_nonzero(n > 2)), int(n.sum())]])], names=["shard", "levels"])
 
     return run
 
@@ -281,48 +419,71 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("shard").sortWithinPartitions("shard")
 
 
-def fit(docs: DataFrame, text: str = "text") -> Meta:
-    """Count a model over all rows of ``docs`` and store it in the shared folder. Null texts are empty.
+def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Meta:
+    """Count a model of runs of ``order`` words over all rows of ``docs`` and store it in the shared folder.
 
-    Driver and broadcasts hold totals, discounts and the hot contexts (at most ``1 / HOT_SHARE``) alone.
+    Null texts are empty. Driver and broadcasts hold totals, discounts, one number per shard of words, and the hot
+    contexts (at most ``2 / HOT_SHARE`` of each length) alone.
     """
+    if order < 2:
+        raise ValueError("a model needs runs of at least two words")
     spark = docs.sparkSession
     folder = f"{local_path(shared_folder(spark))}/ngrams-{uuid.uuid4().hex}"
     os.makedirs(folder)
     texts = docs.select(text_of(docs, text).alias("_text"))
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = max(2, min(MOST_SHARDS.bit_length() - 1, math.ceil(math.log2(max(1, size / SHARD_BYTES)))))
-    none = np.zeros(0, np.uint32)
-    words = dealt(texts.mapInArrow(_count("words", bits, none), PACKED)).mapInArrow(
+    words = dealt(texts.mapInArrow(_count_words(bits), PACKED)).mapInArrow(
         _store_words(folder), "shard int, tokens long, types long, top array<long>, top_n array<long>").collect()
     total, types = sum(r["tokens"] for r in words), sum(r["types"] for r in words)
-    hot = {w for r in words for w, n in zip(r["top"], r["top_n"]) if n > max(total * HOT_SHARE, COUNTED / 100)}
-    hot = np.unique((np.array(sorted(hot), np.int64).view(np.uint64) >> np.uint64(32)).astype(np.uint32))
-    passed = cut(dealt(texts.mapInArrow(_count("pairs", bits, hot), PACKED)).mapInArrow(
-        _store_pairs(folder, bits), f"{PACKED}, totals {TOTALS_DDL}"))
-    part = passed.where("totals is not null").select("totals.*")
-    found = part.agg(F.sum("pairs"), *[F.sum(F.col("levels")[i]) for i in range(4)]).first()
-    split = part.where(F.size("hot") > 0).select(F.posexplode("hot").alias("i", "word"), "hot_sums").groupBy("word").agg(
-        *[F.sum(F.col("hot_sums")[F.col("i") * 4 + k]).alias(f"s{k}") for k in range(4)]).orderBy("word").collect()
-    levels = dealt(passed.select("shard", "keys", "n")).mapInArrow(_store_continuations(folder), "shard int, levels array<long>").collect()
-    upper = [sum(r["levels"][i] for r in levels) for i in range(5)]
-    return Meta(
-        folder, bits, total, types, found[0] or 0, (discounts([x or 0 for x in found[1:]]), discounts(upper[:4])), [*upper[:2], upper[4]],
-        np.array([r["word"] for r in split], np.uint32), np.array([[r[f"s{k}"] for k in range(4)] for r in split], np.float64).reshape(-1, 4))
-
-
-class Reader:
-    """Probabilities of words and pairs from the stored arrays."""
-
-    def __init__(self, meta: Meta):
-        self.meta, self.open = meta, {}
+    if types >= BEGIN:
+        raise ValueError("more distinct words than 32-bit numbers")
+    first = np.zeros((1 << bits) + 1, np.int64)
+    for r in words:
+        first[r["shard"] + 1] = r["types"]
+    first = np.cumsum(first)
+    place = (folder, bits, first)
+    often = max(total * HOT_SHARE, COUNTED / 100)
+    top = np.unique(np.array([w for r in words for w, n in zip(r["top"], r["top_n"]) if n > often], np.int64).view(np.uint64))
+    hot_words = Words(*place).ids(top)
+    hot = [np.zeros(0, np.uint64), np.unique(np.append(hot_words, [BEGIN] if END in top else []).astype(np.uint64))]
+    parts = max(1, size // HOT_SAMPLE)
+    some = texts.where(F.pmod(F.xxhash64("_text"), F.lit(parts)) == 0) if parts > 1 else texts
+    for length in range(2, order):
+        frequent = some.mapInArrow(_hot_contexts(place, length), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        found_ = frequent.where(F.col("n") > often / parts / 2).orderBy(F.desc("n"), "key").limit(int(2 / HOT_SHARE)).collect()
+        hot.append(np.unique(np.array([r["key"] for r in found_], np.int64).view(np.uint64)))
+    rows = texts.mapInArrow(_count_runs(place, order, hot), PACKED)
+    for width in range(order, 1, -1):
+        rows = dealt(rows).mapInArrow(_store_runs(folder, bits, width, hot, first), PACKED)
+    levels = dealt(rows).mapInArrow(_store_continuations(folder, first), "shard int, levels array<long>").collect()
+    upper = [sum(r["levels"][i] for r in levels) for i in range(6)]
+    part = cut(spark.range((order - 1) * (2 << bits)).mapInArrow(_totals(folder, bits), "width int, levels array<long>, hot array<long>, hot_sums array<long>"))
+    by_width = {r["width"]: r for r in part.groupBy("width").agg(*[F.sum(F.col("levels")[i]).alias(f"n{i}") for i in range(4)]).collect()}
+    split = part.where(F.size("hot") > 0).select("width", F.posexplode("hot").alias("i", "key"), "hot_sums").groupBy("width", "key").agg(
+        *[F.sum(F.col("hot_sums")[F.col("i") * 4 + k]).alias(f"s{k}") for k in range(4)]).collect()
+    hot_sums = [(np.zeros(0, np.uint64), np.zeros((0, 4)))]
+    for width in range(2, order + 1):
+        mine = [r for r in split if r["width"] == width]
+        key = np.array([r["key"] for r in mine], np.int64).view(np.uint64)
+        by_key = np.argsort(key)
+        hot_sums.append((key[by_key], np.array([[r[f"s{k}"] for k in range(4)] for r in mine], np.float64).reshape(-1, 4)[by_key]))
+    counts = [upper[:4], *([by_width[w][f"n{i}"] for i in range(4)] if w in by_width else [0] * 4 for w in range(2, order + 1))]
+    return Meta(folder, bits, first, order, total, types, upper[5], [discounts(c, order > 2) for c in counts], [*upper[:2], upper[4]], hot, hot_sums)
+
+
+class Words:
+    """Numbers and counts of words from the stored arrays."""
+
+    def __init__(self, folder: str, bits: int, first: np.ndarray):
+        self.folder, self.bits, self.first, self.open = folder, bits, first, {}
 
     def arrays(self, name: str, shard: int, *dtypes) -> list[np.ndarray]:
         key = (name, shard)
         if key not in self.open:
             if len(self.open) > 20_000:
                 self.open.clear()
-            self.open[key] = read_arrays(f"{self.meta.folder}/{name}-{shard}", *dtypes)
+            self.open[key] = read_arrays(f"{self.folder}/{name}-{shard}", *dtypes)
         return self.open[key]
 
     @staticmethod
@@ -331,33 +492,58 @@ class Reader:
         shards, first = np.unique(shard, return_index=True)
         return zip(shards.tolist(), (slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(shard)])))
 
-    def words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of sorted distinct words, and in how many contexts they occur."""
-        n, contexts_ = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        for shard, part in self.runs(words >> np.uint64(64 - self.meta.bits)):
+    def words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and counts of sorted distinct words, and in how many contexts they occur."""
+        ids, n, contexts = np.full(len(words), UNKNOWN), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for shard, part in self.runs(words >> np.uint64(64 - self.bits)):
             keys, values = self.arrays("words", shard, np.uint64, np.int64)
-            n[part] = found(keys, values, words[part])
-            keys, values = self.arrays("continuations", shard, np.uint32, np.int64)
-            contexts_[part] = found(keys, values, (words[part] >> np.uint64(32)).astype(np.uint32))
-        return n, contexts_
-
-    def pairs(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of distinct pairs, and the sums of their contexts (all, once, twice, more often)."""
-        n, total = np.zeros(len(pairs), np.int64), np.zeros((len(pairs), 4))
-        shard = pair_shard(pairs, self.meta.bits, self.meta.hot)
+            if not len(keys):
+                continue
+            at = np.minimum(np.searchsorted(keys, words[part]), len(keys) - 1)
+            known = np.flatnonzero(keys[at] == words[part])
+            at, known = at[known], known + part.start
+            ids[known], n[known] = self.first[shard] + at, values[at]
+            (times,) = self.arrays("continuations", shard, np.int64)
+            if len(times):
+                contexts[known] = times[at]
+        return ids, n, contexts
+
+    def ids(self, token: np.ndarray) -> np.ndarray:
+        word, of = np.unique(token, return_inverse=True)
+        return self.words(word)[0][of]
+
+
+class Reader(Words):
+    """Probabilities of words and runs from the stored arrays."""
+
+    def __init__(self, meta: Meta):
+        super().__init__(meta.folder, meta.bits, meta.first)
+        self.meta = meta
+
+    def counts(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of distinct runs, and the sums of their contexts (all, once, twice, more often)."""
+        width, n, total = len(columns), np.zeros(len(columns[0]), np.int64), np.zeros((len(columns[0]), 4))
+        contexts = context_key(columns[:-1])
+        shard = run_shard(columns, self.meta.bits, self.meta.hot)
         order = np.argsort(shard, kind="stable")
         for s, part in self.runs(shard[order]):
             row = order[part]
-            first, second = (pairs[row] >> np.uint64(32)).astype(np.uint32), (pairs[row] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            context, bounds, level, words, small, large, count = self.arrays(
-                "pairs", s, np.uint32, np.int64, np.int64, np.uint32, np.uint8, np.int64, np.int64)
+            context, bounds, many, level, words, small, large, count = self.arrays(
+                f"runs-{width}", s, np.uint64, np.uint32, np.int64, np.int64, np.uint32, np.uint8, np.int64, np.int64)
             if not len(context):
                 continue
-            at = np.minimum(np.searchsorted(context, first), len(context) - 1)
-            known = np.flatnonzero(context[at] == first)
-            row, at, second = row[known], at[known], second[known]
-            total[row] = level.reshape(-1, 4)[at]
-            low, high = bounds[at], bounds[at + 1]
+            at = np.minimum(np.searchsorted(context, contexts[row]), len(context) - 1)
+            known = np.flatnonzero(context[at] == contexts[row])
+            row, at = row[known], at[known]
+            second, low, high = columns[-1][row], bounds[at].astype(np.int64), bounds[at + 1].astype(np.int64)
+            if s < 1 << self.meta.bits:
+                place = np.searchsorted(many, at)
+                stored = high - low > SUMMED
+                total[row[stored]] = level.reshape(-1, 4)[place[stored]]
+                few = np.flatnonzero(~stored)
+                all_ = self.at(small, large, count, ranges(low[few], (high - low)[few]))
+                ends = np.append(0, np.cumsum((high - low)[few]))
+                total[row[few]] = sums(np.stack([all_, all_ == 1, all_ == 2, all_ > 2], 1).astype(np.int64), ends)
             end = high.copy()
             while (low < high).any():
                 middle = (low + high) >> 1
@@ -365,35 +551,45 @@ class Reader:
                 low, high = np.where(below, middle + 1, low), np.where(below, high, np.minimum(middle, high))
             hit = np.flatnonzero(low < end)
             hit = hit[words[low[hit]] == second[hit]]
-            value = small[low[hit]].astype(np.int64)
-            more = value == 255
-            if more.any() and len(large):
-                value[more] = found(large, count, low[hit][more], value[more])
-            n[row[hit]] = value
-        if len(self.meta.hot):
-            first = (pairs >> np.uint64(32)).astype(np.uint32)
-            at = np.minimum(np.searchsorted(self.meta.hot, first), len(self.meta.hot) - 1)
-            alone = self.meta.hot[at] == first
-            total[alone] = self.meta.hot_sums[at[alone]]
+            n[row[hit]] = self.at(small, large, count, low[hit])
+        keys, hot_sums = self.meta.hot_sums[width - 1]
+        split = np.flatnonzero(shard >= 1 << self.meta.bits)
+        split = split[among(contexts[split], keys)]
+        total[split] = hot_sums[np.searchsorted(keys, contexts[split])]
         return n, total
 
+    @staticmethod
+    def at(small: np.ndarray, large: np.ndarray, count: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Counts at ``rows``."""
+        value = small[rows].astype(np.int64)
+        more = np.flatnonzero(value == 255)
+        if len(more) and len(large):
+            value[more] = found(large, count, rows[more], value[more])
+        return value
+
     def score(self, token: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, log10 probability by counts plus one, and by the model."""
         meta = self.meta
         word, of = np.unique(token, return_inverse=True)
-        n, continuations = self.words(word)
+        ids, n, continuations = self.words(word)
         base = np.log10((n + 1) / (meta.tokens + meta.types + 1))
-        lower, upper = np.array([0, *meta.discounts[1]]), np.array([0, *meta.discounts[0]])
+        lower = np.array([0, *meta.discounts[0]])
         share = np.maximum(continuations - lower[np.minimum(continuations, 3)], 0)
-        left = float(np.dot(meta.levels, meta.discounts[1])) if meta.pairs else 1.0
-        alone = (share + left / (meta.types + 1)) / max(meta.pairs, 1)
-        pair, which, where = np.unique(contexts(token, at) >> np.uint64(32) << np.uint64(32) | token >> np.uint64(32), return_index=True, return_inverse=True)
-        times, total = self.pairs(pair)
-        p = alone[of[which]]
-        seen = total[:, 0] > 0
-        more = np.maximum(times - upper[np.minimum(times, 3)], 0)
-        p[seen] = (more[seen] + total[seen, 1:] @ upper[1:] * p[seen]) / total[seen, 0]
-        return sums((n > 0)[of], at, np.int64), sums(base[of], at), sums(np.log10(p)[where], at)
+        left = float(np.dot(meta.levels, meta.discounts[0])) if meta.pairs else 1.0
+        p = ((share + left / (meta.types + 1)) / max(meta.pairs, 1))[of]
+        columns = runs_of(ids[of], at, meta.order)
+        for width in range(2, meta.order + 1):
+            runs = columns[-width:]
+            order, first = distinct(runs)
+            times, total = self.counts([c[order[first]] for c in runs])
+            which = np.empty(len(order), np.int64)
+            which[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+            upper = np.array([0, *meta.discounts[width - 1]])
+            more, rest = np.maximum(times - upper[np.minimum(times, 3)], 0)[which], (total[:, 1:] @ upper[1:])[which]
+            total = total[which, 0]
+            seen = total > 0
+            p[seen] = (more[seen] + rest[seen] * p[seen]) / total[seen]
+        return sums((n > 0)[of], at, np.int64), sums(base[of], at), sums(np.log10(p), at)
 
 
 def found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, default=0) -> np.ndarray:
@@ -430,7 +626,7 @@ def score(docs: DataFrame, meta: Meta, text: str = "text") -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def fit_and_score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
+def fit_and_score(docs: DataFrame, learn: Column, text: str = "text", order: int = 2) -> DataFrame:
     """Score all rows by a model of those where ``learn`` holds; adds ``train_tokens`` to what ``score`` adds."""
-    meta = fit(docs.where(learn), text)
+    meta = fit(docs.where(learn), text, order)
     return score(docs, meta, text).withColumn("train_tokens", F.lit(meta.tokens).cast("long"))

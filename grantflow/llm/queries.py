@@ -149,6 +149,6 @@ def op9_bpe(spark, sf_dir):
 def op10_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     remainder = langid.fold(F.col("doc_id"), 7)
-    scored = kneser.fit_and_score(docs, remainder != 2)
+    scored = kneser.fit_and_score(docs, remainder != 2, order=3)
     return scored.select(
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -1,8 +1,10 @@
 """The ten operators against plain versions, on the small tables and on odd ones."""
 
+import math
 import os
 import random
 import zlib
+from collections import Counter
 from datetime import datetime, timezone
 
 import numpy as np
@@ -475,3 +477,69 @@ def test_chances_sum_to_one(documents):
     one = reader.score(np.full(len(words), context), np.arange(len(words) + 1))[2]
     assert np.sum(10 ** (both - one)) == pytest.approx(1)
     assert os.path.isdir(meta.folder)
+
+
+class AnyOrder:
+    """Model of runs of ``order`` words from texts, with words as they are."""
+
+    def __init__(self, texts, order):
+        self.order, self.count = order, Counter()
+        levels = {k: Counter() for k in range(1, order + 1)}
+        for t in texts:
+            words = brute.KneserNey.tokens(t)
+            self.count.update(words)
+            for i in range(len(words)):
+                run = self.run(words, i)
+                levels[len(run)][run] += 1
+        for k in range(order, 1, -1):
+            levels[k - 1].update(r[1:] for r in levels[k])
+        self.levels, self.discounts = levels, {k: brute.KneserNey.discounts(c.values()) for k, c in levels.items()}
+        if order > 2:
+            self.discounts = {k: [d or u for d, u in zip(c, [0, 0.5, 0.75, 0.9])] for k, c in self.discounts.items()}
+        self.after, self.left = Counter(), Counter()
+        for k in levels:
+            for r, n in levels[k].items():
+                self.after[r[:-1]] += n
+                self.left[r[:-1]] += self.discounts[k][min(n, 3)]
+
+    def run(self, words, i):
+        return tuple(["<begin>", *words][max(0, i + 2 - self.order) : i + 2])
+
+    def chance(self, run):
+        if not run:
+            return 1 / (len(self.count) + 1)
+        p = self.chance(run[1:])
+        if not self.after[run[:-1]]:
+            return p
+        n = self.levels[len(run)][run]
+        return (max(n - self.discounts[len(run)][min(n, 3)], 0) + self.left[run[:-1]] * p) / self.after[run[:-1]]
+
+    def score(self, text):
+        words = brute.KneserNey.tokens(text)
+        return sum(math.log10(self.chance(self.run(words, i))) for i in range(len(words)))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_model_of_longer_runs(odd, monkeypatch, order):
+    for name, n in (("HOT_SHARE", 0.004), ("COUNTED", 300), ("SHARD_BYTES", 5000), ("SUMMED", 2)):
+        monkeypatch.setattr(kneser, name, n)
+    rows = odd.collect()
+    model = AnyOrder([r.text for r in rows if r.doc_id is not None and learned(r.doc_id)], order)
+    got = kneser.fit_and_score(odd, langid.fold(F.col("doc_id"), 7) != 2, order=order).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(model.score(r.text), rel=1e-6)
+
+
+def test_query_uses_contexts_of_two_words(spark, documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    model = AnyOrder([t for i, t in texts.items() if learned(i)], 3)
+    got = QUERIES["op10_lm_scoring"](spark, SMALL).limit(20).collect()
+    assert [r.score for r in got] == pytest.approx([model.score(texts[r.doc_id]) for r in got], rel=1e-6)
+
+
+def test_words_with_equal_half_hashes_stay_apart(tmp_path):
+    words = np.array([1 << 40 | 1, 1 << 40 | 2], np.uint64)
+    kneser.write_arrays(f"{tmp_path}/words-0", words, np.array([3, 4]))
+    ids = kneser.Words(str(tmp_path), 2, np.array([0, 2, 2, 2, 2])).ids(words)
+    assert ids.tolist() == [0, 1]
