@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.paging import joined_pages
 from ..functions.text import decision_key, relation_key, schema_key
 from ..model import TUPLE_COLS
 from ..operators import cache as ca
@@ -438,7 +439,9 @@ def k02(spark, sf):
     FROM tup GROUP BY ALL""",
 )
 def k03(spark, sf):
-    return ca.subjects_list(graph(spark, sf)).withColumn("subjects", F.concat_ws(",", "subjects"))
+    key = ["res_type", "res_id", "relation"]
+    whole = joined_pages(ca.subjects_list(graph(spark, sf)), key, "subjects")
+    return whole.select(*key, F.lit(0).cast("long").alias("page"), F.lit(1).cast("long").alias("pages"), "subjects")
 
 
 @query(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.paging import joined_pages
 from ..operators import alerts as al
 from ..operators import metrics as me
 from ..session import cut, cut_table, shared_folder
@@ -352,8 +353,8 @@ al AS (
     string_agg(DISTINCT series, ',' ORDER BY series) AS members FROM al GROUP BY ALL""",
 )
 def t13(spark, sf):
-    g = al.group_alerts(alert_rows(spark, sf))
-    return g.select("alertname", "cluster", "service", at_us("ts"), "alerts", F.concat_ws(",", "members").alias("members"))
+    g = joined_pages(al.group_alerts(alert_rows(spark, sf)), [*al.GROUP_BY, "ts", "alerts"], "members")
+    return g.select("alertname", "cluster", "service", at_us("ts"), "alerts", "members")
 
 
 def group_content(spark, sf):

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grantflow.functions import ordered as od
-from grantflow.functions.paging import paged_lists
+from grantflow.functions.paging import joined_pages, paged_lists
 from grantflow.functions.skew import spread_join
 
 
@@ -73,6 +73,39 @@ def test_paged_lists_keep_everything(spark):
     assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, rows.distinct().collect()))
 
 
+def test_pages_are_ranges_of_the_sorted_list(spark):
+    rows = skewed(spark).select("k", F.format_string("%05d", "v").alias("v")).repartition(7)
+    out = paged_lists(rows, ["k"], "v", "vs", page=30).collect()
+    for k in {r.k for r in out}:
+        mine = sorted((r for r in out if r.k == k), key=lambda r: r.page)
+        want = sorted(r.v for r in rows.where(F.col("k") == k).collect()) if k < 3 else sorted(v for r in mine for v in r.vs)
+        assert [v for r in mine for v in r.vs] == want
+        assert [r.page for r in mine] == list(range(len(mine))) and {r.pages for r in mine} == {len(mine)}
+        assert all(len(r.vs) == 30 for r in mine[:-1])
+
+
+def test_joined_pages_are_the_whole_sorted_list(spark):
+    rows = skewed(spark).select("k", F.when(F.col("v") % 7 > 0, F.format_string("%05d", "v")).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, "a"), (-1, None)], "k long, v string"))
+    paged = paged_lists(rows, ["k"], "v", "vs", page=30)
+    assert [(r.page, r.pages, r.vs) for r in paged.where("k = -1").collect()] == [(0, 1, [])]
+    assert paged.where("size(vs) = 0 and k >= 0").count() == 0
+    got = joined_pages(paged, ["k"], "vs").collect()
+    want = rows.groupBy("k").agg(F.concat_ws(",", F.sort_array(F.collect_set("v"))).alias("vs")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
+def test_group_alerts_has_its_pages(spark):
+    from grantflow.operators.alerts import group_alerts
+
+    rows = spark.range(25).select(
+        F.lit("a").alias("alertname"), F.lit(None).cast("string").alias("cluster"), F.lit("s").alias("service"),
+        F.lit("2024-01-01").cast("timestamp").alias("ts"), F.format_string("%02d", "id").alias("series"))
+    out = sorted(group_alerts(rows, page=10).collect(), key=lambda r: r.page)
+    assert [(r.page, r.pages, r.alerts, len(r.members)) for r in out] == [(0, 3, 25, 10), (1, 3, 25, 10), (2, 3, 25, 5)]
+    assert [m for r in out for m in r.members] == [f"{i:02d}" for i in range(25)]
+
+
 def test_cut_uses_the_configured_folder(spark):
     from grantflow.session import cut_table
 
