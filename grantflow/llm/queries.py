@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, digest, kneser, langid, mainpage, mixing, mtree, simhash, suffixes, urlfilter
+from . import bpe, digest, kneser, langid, mainpage, mixing, mtree, periodic, pieces, simhash, suffixes, urlfilter, whitening
 from .catalog import ORACLE, QUERIES, query, table
+from .common import WORD
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
-def vocabulary() -> str:
-    """Path of the public vocabulary file."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public vocabulary file."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 URL_SQL = r"""
@@ -152,3 +153,40 @@ def op10_lm_scoring(spark, sf_dir):
     scored = kneser.fit_and_score(docs, remainder != 2, order=3)
     return scored.select(
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def with_planted_runs(doc_id, text):
+    """Texts in which every tenth document, by the checksum of its id, repeats a stretch of its words to its end."""
+    checksum = F.crc32(doc_id.cast("string"))
+    g = F.floor(checksum / 10)
+
+    def plant(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+
+    # The list of words is bound to a variable, so it is made once a text.
+    found = F.transform(F.array(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)), plant)
+    planted = F.get(found, 0)
+    return F.when((checksum % 10 == 0) & (F.regexp_instr(text, F.lit(WORD)) > 0), F.array_join(planted, " ")).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.find_runs(docs, ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"), min_length=6, min_exponent=4)
+
+
+@query("op12_sentencepiece")
+def op12_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, vocabulary("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=32)
+    return white.select(
+        "vec_id", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), "explained", "identity_error", F.posexplode("whitened").alias("i", "whitened"),
+    ).select("vec_id", (F.col("i") + 1).cast("int").alias("component"), "n", "deviation", "whitened", F.get("explained", F.col("i")).alias("explained"), "identity_error")
