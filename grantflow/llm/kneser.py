@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,7 @@ from .simhash import LOWER, SPACE
 from .suffixes import Hashes
 
 #: Tokens counted in one go, and bytes of text scored in one go.
-COUNTED, SCORED = 2_000_000, 1 << 22
+COUNTED, SCORED = 1 << 20, 1 << 21
 
 #: Bytes of training text per shard, and the most shards of a family (a power of two).
 SHARD_BYTES, MOST_SHARDS = 12_000_000, 1 << 16
@@ -156,14 +157,22 @@ def unplanes(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
+def squeezed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unsqueezed(raw) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def packed_counts(keys: np.ndarray, n: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
     """One row per shard with its keys and counts; keys come sorted by shard."""
     shards, first = np.unique(shard, return_index=True)
     bounds = np.append(first, len(keys)).tolist()
     pieces = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
     return pa.RecordBatch.from_arrays([
-        pa.array(shards.astype(np.int32)), pa.array([planes(keys[p]) for p in pieces], pa.binary()),
-        pa.array([planes(n[p].astype(np.uint32)) for p in pieces], pa.binary()),
+        pa.array(shards.astype(np.int32)), pa.array([squeezed(planes(keys[p])) for p in pieces], pa.binary()),
+        pa.array([squeezed(planes(n[p].astype(np.uint32))) for p in pieces], pa.binary()),
     ], names=["shard", "keys", "n"])
 
 
@@ -171,19 +180,28 @@ PACKED = "shard int, keys binary, n binary"
 
 
 def packed_runs(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    """One row per shard with its runs, column after column, and their counts; runs come sorted."""
-    order = np.argsort(shard, kind="stable")
+    """One row per shard with its runs, column after column, and their counts; runs come sorted.
+
+    Of the first column, which rises, the steps are kept.
+    """
+    order = np.argsort(shard.astype(np.int32), kind="stable")
     shards, first = np.unique(shard[order], return_index=True)
     pieces = [order[a:b] for a, b in zip(first, [*first[1:], len(order)])]
+
+    def keys(p: np.ndarray) -> bytes:
+        return squeezed(b"".join([planes(np.diff(columns[0][p], prepend=np.uint32(0))), *(planes(c[p]) for c in columns[1:])]))
+
     return pa.RecordBatch.from_arrays([
-        pa.array(shards.astype(np.int32)), pa.array([b"".join(planes(c[p]) for c in columns) for p in pieces], pa.binary()),
-        pa.array([planes(n[p].astype(np.uint32)) for p in pieces], pa.binary()),
+        pa.array(shards.astype(np.int32)), pa.array([keys(p) for p in pieces], pa.binary()),
+        pa.array([squeezed(planes(n[p].astype(np.uint32))) for p in pieces], pa.binary()),
     ], names=["shard", "keys", "n"])
 
 
 def unpacked_runs(raw: bytes, width: int) -> list[np.ndarray]:
+    raw = unsqueezed(raw)
     size = len(raw) // width
-    return [unplanes(raw[i * size : (i + 1) * size], np.uint32) for i in range(width)]
+    steps, *rest = (unplanes(raw[i * size : (i + 1) * size], np.uint32) for i in range(width))
+    return [np.cumsum(steps, dtype=np.uint32), *rest]
 
 
 def shards_of(batches: Iterator[pa.RecordBatch], width: int = 0) -> Iterator[tuple]:
@@ -191,19 +209,22 @@ def shards_of(batches: Iterator[pa.RecordBatch], width: int = 0) -> Iterator[tup
     shard, held = None, []
 
     def done():
+        times = np.concatenate([unplanes(unsqueezed(n), np.uint32) for _, n in held]).astype(np.int64)
         if width:
             columns = [np.concatenate(c) for c in zip(*(unpacked_runs(k, width) for k, _ in held))]
-            return (shard, *counted_runs(columns, np.concatenate([unplanes(n, np.uint32) for _, n in held]).astype(np.int64)))
-        keys = np.concatenate([unplanes(k, np.uint64) for k, _ in held])
-        return (shard, *counted(keys, np.concatenate([unplanes(n, np.uint32) for _, n in held]).astype(np.int64)))
+            held.clear()
+            return (shard, *counted_runs(columns, times))
+        keys = np.concatenate([unplanes(unsqueezed(k), np.uint64) for k, _ in held])
+        held.clear()
+        return (shard, *counted(keys, times))
 
     for batch in batches:
-        for s, k, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "keys", "n"))):
+        # Values are views of the batch, not copies of it.
+        for s, *parts in zip(batch.column("shard").to_pylist(), batch.column("keys"), batch.column("n")):
             if s != shard and held:
                 yield done()
-                held = []
             shard = s
-            held.append((k, n))
+            held.append(tuple(x.as_buffer() for x in parts))
     if held:
         yield done()
 
@@ -284,8 +305,9 @@ def in_pieces(emit):
             held.append(tokens(*text_bytes(batch.column("_text"))))
             rows += len(held[-1][0])
             if rows >= COUNTED:
-                yield emit(held)
+                out = emit(held)
                 held, rows = [], 0
+                yield out
         if held:
             yield emit(held)
 
@@ -365,6 +387,7 @@ def _store_runs(folder: str, bits: int, width: int, hot: list[np.ndarray], first
             # Runs padded with more than one beginning belong to the level below, with their own counts.
             padded = (columns[0] == BEGIN) & (columns[1] == BEGIN) if width > 2 else np.zeros(len(n), bool)
             below = counted_runs(rest, np.where(padded, n, 1))
+            below = packed_runs(*below, run_shard(below[0], bits, hot) if width > 2 else word_shard(below[0][0], first))
             context, second, n = context_key(columns[:-1])[~padded], columns[-1][~padded], n[~padded]
             head = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(n) else np.zeros(0, np.int64)
             bounds = np.append(head, len(n))
@@ -375,7 +398,8 @@ def _store_runs(folder: str, bits: int, width: int, hot: list[np.ndarray], first
             alone = shard >= 1 << bits
             write_arrays(f"{folder}/totals-{width}-{shard}", np.array([*count_of_counts(n), len(n)], np.int64),
                          context[head] if alone else context[:0], total.ravel() if alone else total[:0].ravel())
-            yield packed_runs(*below, run_shard(below[0], bits, hot) if width > 2 else word_shard(below[0][0], first))
+            del columns, rest, context, second, n, head, bounds, total, padded
+            yield below
 
     return run
 
@@ -414,9 +438,9 @@ def _store_continuations(folder: str, first: np.ndarray):
     return run
 
 
-def dealt(rows: DataFrame) -> DataFrame:
-    """Rows of a shard together, in one task."""
-    return rows.repartition("shard").sortWithinPartitions("shard")
+def dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows of a shard together, about one shard a task, so that a task's memory is that of a shard."""
+    return rows.repartition(shards, "shard").sortWithinPartitions("shard")
 
 
 def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Meta:
@@ -433,7 +457,7 @@ def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Meta:
     texts = docs.select(text_of(docs, text).alias("_text"))
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = max(2, min(MOST_SHARDS.bit_length() - 1, math.ceil(math.log2(max(1, size / SHARD_BYTES)))))
-    words = dealt(texts.mapInArrow(_count_words(bits), PACKED)).mapInArrow(
+    words = dealt(texts.mapInArrow(_count_words(bits), PACKED), 1 << bits).mapInArrow(
         _store_words(folder), "shard int, tokens long, types long, top array<long>, top_n array<long>").collect()
     total, types = sum(r["tokens"] for r in words), sum(r["types"] for r in words)
     if types >= BEGIN:
@@ -455,8 +479,8 @@ def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Meta:
         hot.append(np.unique(np.array([r["key"] for r in found_], np.int64).view(np.uint64)))
     rows = texts.mapInArrow(_count_runs(place, order, hot), PACKED)
     for width in range(order, 1, -1):
-        rows = dealt(rows).mapInArrow(_store_runs(folder, bits, width, hot, first), PACKED)
-    levels = dealt(rows).mapInArrow(_store_continuations(folder, first), "shard int, levels array<long>").collect()
+        rows = dealt(rows, 2 << bits).mapInArrow(_store_runs(folder, bits, width, hot, first), PACKED)
+    levels = dealt(rows, 1 << bits).mapInArrow(_store_continuations(folder, first), "shard int, levels array<long>").collect()
     upper = [sum(r["levels"][i] for r in levels) for i in range(6)]
     part = cut(spark.range((order - 1) * (2 << bits)).mapInArrow(_totals(folder, bits), "width int, levels array<long>, hot array<long>, hot_sums array<long>"))
     by_width = {r["width"]: r for r in part.groupBy("width").agg(*[F.sum(F.col("levels")[i]).alias(f"n{i}") for i in range(4)]).collect()}
