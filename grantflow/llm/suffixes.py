@@ -44,35 +44,37 @@ SOUGHT, SETTLED = 1 << 20, 1 << 18
 #: Anchors compared byte by byte at a time.
 COMPARED = 16_384
 
-BASE = 0xD1342543DE82EF95
-LETTERS = mix64(np.arange(1, 257, dtype=np.uint64))
+#: Bases of two independent hashes, and the numbers they give the bytes.
+BASES = 0xD1342543DE82EF95, 0x9FB21C651E98DF25
+LETTERS = mix64(np.arange(1, 257, dtype=np.uint64)), mix64(np.arange(1_001, 1_257, dtype=np.uint64))
 
 
 class Powers:
-    """Powers of the hash base and of its inverse modulo 2**64."""
+    """Powers of a hash base and of its inverse modulo 2**64."""
 
-    def __init__(self):
+    def __init__(self, base: int):
+        self.base = base
         self.up = self.down = np.ones(1, np.uint64)
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             n = 1 << int(n).bit_length()
-            for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+            for name, base in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
                 steps = np.full(n, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps))
         return self.up, self.down
 
 
-POWERS = Powers()
+POWERS = tuple(map(Powers, BASES))
 
 
 class Hashes:
-    """Hashes of all substrings of one buffer from prefix sums."""
+    """Hashes of all substrings of one buffer from prefix sums; ``which`` of the two."""
 
-    def __init__(self, flat: np.ndarray):
-        up, self.down = POWERS.to(len(flat) + 1)
-        self.sums = np.append(np.uint64(0), np.cumsum(LETTERS[flat] * up[: len(flat)]))
+    def __init__(self, flat: np.ndarray, which: int = 0):
+        up, self.down = POWERS[which].to(len(flat) + 1)
+        self.sums = np.append(np.uint64(0), np.cumsum(LETTERS[which][flat] * up[: len(flat)]))
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
         return mix64((self.sums[start + size] - self.sums[start]) * self.down[start] + np.asarray(size, np.uint64))
@@ -119,7 +121,7 @@ def firsts(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(hot: np.ndarray, length: int, lead: int):
-    """Rows ``(key, around, id, seq, packed, done)``; ``done`` rows are repeats already, all others are not known."""
+    """Rows ``(key, around, id, seq, packed, done)`` of texts without copies of their id; ``done`` rows are repeats already, all others are not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "_text", SOUGHT):
@@ -136,7 +138,8 @@ def _anchor_rows(hot: np.ndarray, length: int, lead: int):
                 relative = np.where(alone, 0, at - start)
             else:
                 relative = at - start
-            around = (hashes.of(start, strings + length - 1) ^ mix64((relative << 8 | strings).astype(np.uint64))).view(np.int64)
+            # A second hash, so that strings dealt one by one are told apart by both.
+            around = (Hashes(flat, 1).of(start, strings + length - 1) ^ mix64((relative << 8 | strings).astype(np.uint64))).view(np.int64)
             doc = np.searchsorted(offsets, start, "right") - 1
             ids, seq = batch.column("_id").to_numpy()[doc], batch.column("_seq").to_numpy()[doc]
             packed = pack(start - offsets[doc], relative, strings)
@@ -144,7 +147,7 @@ def _anchor_rows(hot: np.ndarray, length: int, lead: int):
             done = np.zeros(len(order), bool)
             done[order] = ~new
             # What is known goes with its document's hash, so that a group of copies is not gathered.
-            key[done] = mix64(ids[done].astype(np.uint64)).view(np.int64)
+            key[done] = mix64(ids[done].astype(np.uint64) ^ seq[done].view(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (key, around, ids, seq, packed, done)], names=["key", "around", "_id", "_seq", "packed", "done"])
 
@@ -182,7 +185,7 @@ def _surroundings(length: int):
             ends = lists.offsets.to_numpy()
             doc = np.repeat(np.arange(len(lists)), np.diff(ends))
             items = lists.flatten()
-            use = np.flatnonzero(items.field("key").is_valid().to_numpy(zero_copy_only=False) & (items.field("_seq").to_numpy() == batch.column("_seq").to_numpy()[doc]))
+            use = np.flatnonzero(items.field("key").is_valid().to_numpy(zero_copy_only=False))
             doc, packed = doc[use], items.field("packed").to_numpy()[use]
             key = items.field("key").fill_null(0).to_numpy()[use]
             start, relative, strings = unpack(packed)
@@ -259,14 +262,18 @@ def _cut_out(length: int, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "_text"):
             flat, offsets = text_bytes(batch.column("_text"))
-            own = batch.column("_seq").to_numpy()
             change = np.zeros(len(flat) + 1, np.int32)
+            # A copy of a text with the same id is a repeat from end to end.
+            again = batch.column("_copy").to_numpy() > 1
+            whole = again & (np.diff(offsets) >= length)
+            np.add.at(change, offsets[:-1][whole], 1)
+            np.add.at(change, offsets[1:][whole], -1)
             for name in ("items", "spans"):
                 lists = batch.column(name)
                 doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) if lists.null_count == 0 else np.repeat(
                     np.arange(len(lists)), [len(x) if x.is_valid else 0 for x in lists])
                 rows = lists.flatten()
-                use = rows.field("_seq").to_numpy() == own[doc]
+                use = ~again[doc]
                 if name == "items":
                     use &= ~rows.field("key").is_valid().to_numpy(zero_copy_only=False)
                     start, _, strings = unpack(rows.field("packed").to_numpy())
@@ -294,9 +301,9 @@ def _cut_out(length: int, as_text: bool):
             if as_text:
                 left = pa.array([x.decode("utf-8", "ignore") for x in left.to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([
-                batch.column("_id"), batch.column("_seq"), batch.column("_carry"), pa.array(np.diff(offsets)), pa.array(removed),
+                batch.column("_id"), batch.column("_carry"), pa.array(np.diff(offsets)), pa.array(removed),
                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), spans), left,
-            ], names=["_id", "_seq", "_carry", "n_bytes", "n_removed", "removed", "kept"])
+            ], names=["_id", "_carry", "n_bytes", "n_removed", "removed", "kept"])
 
     return run
 
@@ -325,32 +332,34 @@ def remove_repeats(
 
     Returns ``doc_id``, ``carry``, ``n_bytes``, ``n_removed``, ``removed`` (maximal removed runs as byte offsets) and
     ``kept``: the remaining bytes, or with ``as_text`` the text they hold without characters cut in two. Overlapping occurrences count, and all are
-    judged on the input. Null texts are empty. A null id sorts first; rows of equal id are separate documents in
-    the order of their texts, so of two equal rows the second is a repeat. Texts shorter than ``length`` stay.
+    judged on the input. Null texts are empty. A null id sorts first; rows of equal id are separate documents in a fixed
+    order of their own (that of a hash of their texts), so of two equal rows the second is a repeat. Texts shorter than
+    ``length`` stay. A lead or string counts as known by two independent 64-bit hashes.
     """
     base = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("_id"), text_of(docs, text).alias("_text"),
         F.struct(*carry, F.lit(0).alias("_")).alias("_carry"))
     hot = hot_leads(base, length, lead)
-    texts = base.withColumn("_seq", F.row_number().over(Window.partitionBy("_id").orderBy("_text")))
+    # Rows of one id are told apart by the hash of their texts, and numbered among equal ones only.
+    row = ["_id", "_seq"]
+    texts = base.withColumn("_seq", F.xxhash64("_text")).withColumn("_copy", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
     # All that follows takes all columns of ``texts``, so that the texts are shuffled once and that shuffle is reused.
-    texts = texts.select("_id", "_seq", "_text", "_carry")
-    found = texts.mapInArrow(_anchor_rows(hot, length, lead), "key long, around long, _id long, _seq int, packed long, done boolean")
+    texts = texts.select(*row, "_copy", "_text", "_carry")
+    found = texts.where("_copy = 1").mapInArrow(_anchor_rows(hot, length, lead), "key long, around long, _id long, _seq long, packed long, done boolean")
     found = found.repartition("key").sortWithinPartitions("key")
-    items = found.mapInArrow(_settle, "_id long, _seq int, packed long, key long")
-    items = items.groupBy("_id").agg(F.collect_list(F.struct("_seq", "packed", "key")).alias("items"))
-    open_ = texts.join(items, "_id").select(*texts.columns, "items").mapInArrow(
-        _surroundings(length), "lead binary, key long, _id long, _seq int, packed long, around binary")
+    items = found.mapInArrow(_settle, "_id long, _seq long, packed long, key long")
+    items = items.groupBy(*row).agg(F.collect_list(F.struct("packed", "key")).alias("items"))
+    open_ = texts.join(items, row).where("_copy = 1").select(*texts.columns, "items").mapInArrow(
+        _surroundings(length), "lead binary, key long, _id long, _seq long, packed long, around binary")
     open_ = open_.repartitionByRange("lead", "key").sortWithinPartitions("lead", "key")
-    spans = open_.mapInArrow(_compare(length), "_id long, _seq int, start long, size long")
-    spans = spans.groupBy("_id").agg(F.collect_list(F.struct("_seq", "start", "size")).alias("spans"))
-    joined = texts.join(items, "_id", "left").join(spans, "_id", "left")
+    spans = open_.mapInArrow(_compare(length), "_id long, _seq long, start long, size long")
+    spans = spans.groupBy(*row).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    joined = texts.join(items, row, "left").join(spans, row, "left")
     empty = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
     joined = joined.select(
-        *texts.columns, empty("items", "array<struct<_seq:int,packed:bigint,key:bigint>>"),
-        empty("spans", "array<struct<_seq:int,start:bigint,size:bigint>>"))
+        *texts.columns, empty("items", "array<struct<packed:bigint,key:bigint>>"), empty("spans", "array<struct<start:bigint,size:bigint>>"))
     made = T.StructType.fromDDL(f"n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}")
-    out = joined.mapInArrow(_cut_out(length, as_text), T.StructType([*texts.drop("_text").schema, *made]))
+    out = joined.mapInArrow(_cut_out(length, as_text), T.StructType([*texts.select("_id", "_carry").schema, *made]))
     return out.select(
         F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"), *[F.col("_carry")[c].alias(c) for c in carry],
         "n_bytes", "n_removed", "removed", "kept")
