@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,12 @@ from grantflow.session import cut, literal_table
 
 from .common import WORD
 
+#: So many times the size of its largest document a pattern leaves to the filling of its gap.
+RESERVED = 2
+
+#: Documents times words of gap up to which the best set for a gap is sought.
+EXACT = 1 << 26
+
 #: Buckets of the seeded order of a pattern; each is ranked by itself.
 ORDER_BUCKETS = 4096
 
@@ -124,7 +131,7 @@ def mix(
     ``sources``, ``source_size``, ``target`` (of the document's first source) and ``copies`` (0 to ``repeats``).
 
     Every document is used for all full repetitions of its pattern; the rest is chosen in a seeded order of
-    documents until the next one does not fit, then one document that fills the gap best is added or left out.
+    documents up to a gap of about two of the largest document, which those after them fill (``fill_gaps``).
     Documents with equal id, size and sources are interchangeable. Documents without tokens are never taken.
     An empty table gives an empty result. The pattern table, one row per set of sources, goes to the driver.
     """
@@ -136,8 +143,11 @@ def mix(
         F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 40)).alias("_h"),
     ))
     read = F.from_json("pattern", "s array<string>")["s"]
-    found = [(p, list(s or []), int(n)) for p, s, n in
-             base.groupBy("pattern").agg(F.sum("size")).select("pattern", read, "sum(size)").collect()]
+    grouped = base.groupBy("pattern").agg(F.sum("size").alias("n"), F.max("size").alias("most"))
+    found, most = [], {}
+    for p, s, n, m in grouped.select("pattern", read, "n", "most").collect():
+        found.append((p, list(s or []), int(n)))
+        most[p] = int(m)
     order = sorted({s for _, ss, _ in found for s in ss}, key=lambda s: (s is None, s or ""))
     number = {s: i for i, s in enumerate(order)}
     sizes = {i: 0 for i in number.values()}
@@ -157,29 +167,75 @@ def mix(
     for i, (p, ss, n) in enumerate(sorted(found)):
         full, rest = divmod(taken.get(p, 0), n) if n else (0, 0)
         first = number[min(ss, key=lambda s: (s is None, s or ""))] if ss else -1
-        plan.append((p, i, full, rest, sizes.get(first, 0), float(total.get(first, 0.0))))
+        plan.append((p, i, full, rest, max(0, rest - RESERVED * most[p]), sizes.get(first, 0), float(total.get(first, 0.0))))
     patterns = len(plan)
-    plan = literal_table(spark, plan, "pattern string, _p int, full int, rest long, source_size long, target double")
+    plan = literal_table(spark, plan, "pattern string, _p int, full int, rest long, _first long, source_size long, target double")
     rows = base.join(plan, "pattern")
     bucket = F.shiftright("_h", 40 - ORDER_BUCKETS.bit_length() + 1)
     ranked = with_running(rows, ["_p"], ["_h", *columns, "size"], {"_upto": ("sum", F.col("size"))}, bucket)
-    inside = F.col("_upto") <= F.col("rest")
+    inside = F.col("_upto") <= F.col("_first")
     gap = (
         ranked.groupBy("_p").agg(F.max(F.when(inside, F.col("_upto"))).alias("_got"), F.first("rest").alias("_rest"))
         .select(F.col("_p").alias("_g"), (F.col("_rest") - F.coalesce("_got", F.lit(0))).alias("_gap"))
     )
-    near = (
-        ranked.where(~inside & (F.col("size") > 0)).join(bounded_broadcast(gap, patterns), F.col("_p") == F.col("_g"))
-        .withColumn("_off", F.abs(F.col("size") - F.col("_gap"))).where(F.col("_off") < F.col("_gap"))
-        .groupBy("_p").agg(F.min_by(F.col("_upto"), F.struct("_off", "_h", "size", "_upto")).alias("_pick"))
-        .select(F.col("_p").alias("_g"), "_pick")
-    )
-    out = ranked.join(bounded_broadcast(near, patterns), F.col("_p") == F.col("_g"), "left")
-    copies = F.when(F.col("size") == 0, 0).otherwise(
-        F.col("full") + F.when(inside | F.col("_upto").eqNullSafe(F.col("_pick")), 1).otherwise(0))
+    left = ranked.where(~inside & (F.col("size") > 0)).join(bounded_broadcast(gap, patterns), F.col("_p") == F.col("_g")).drop("_g")
+    chosen = fill_gaps(left.select("_p", "_h", *columns, "size", "_upto", "_gap"), ["_h", *columns, "size"], bucket)
+    out = ranked.join(chosen, ["_p", "_upto"], "left")
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("full") + F.when(inside | F.col("_chosen"), 1).otherwise(0))
     return out.select(*columns, "size", read.alias("sources"), "source_size", "target", copies.cast("int").alias("copies"))
 
 
+def nearest_sum(sizes: list[int], gap: int) -> list[int]:
+    """Places of the sizes whose sum comes nearest to ``gap`` (below it of two equally near), by bits of possible sums."""
+    mask = (1 << 2 * gap + 1) - 1
+    possible = [1]
+    for size in sizes:
+        possible.append((possible[-1] | possible[-1] << size) & mask)
+    raw = np.frombuffer(possible[-1].to_bytes(2 * gap // 8 + 1, "little"), np.uint8)
+    sums = np.flatnonzero(np.unpackbits(raw, bitorder="little"))
+    left = int(sums[np.argmin(np.abs(sums - gap))])
+    out = []
+    for i in range(len(sizes) - 1, -1, -1):
+        if not possible[i] >> left & 1:
+            out.append(i)
+            left -= sizes[i]
+    return out
+
+
+def fill_gaps(left: DataFrame, order: list[str], bucket: Column) -> DataFrame:
+    """Documents that go into the gap of their pattern, as ``(_p, _upto, _chosen)``.
+
+    ``left`` has the documents not taken, with their ``size``, the ``_gap`` of their pattern and ``_upto``, which tells
+    those of a pattern apart. They are gone through by size class, large ones first, and in the given order inside a
+    class; each that fits what is left of the gap is taken. Of a class only documents up to the gap's size can fit, so
+    few of each pattern reach the task that goes through them: their sizes add up to a gap in each class, a gap being
+    at most three of the pattern's largest document. Once what is left of the gap is small enough, the set that comes nearest to it is chosen,
+    over or under it.
+    """
+    fitting = left.where("size <= _gap").withColumn("_class", F.floor(F.log2("size")).cast("int"))
+    fitting = with_running(fitting, ["_p", "_class"], order, {"_in_class": ("sum", F.col("size"))}, bucket)
+    fitting = fitting.where(F.col("_in_class") - F.col("size") < F.col("_gap")).select("_p", "_class", "_in_class", "size", "_upto", "_gap")
+    over = left.where("size > _gap and size < 2 * _gap").groupBy("_p", "_gap").agg(F.min(F.struct("size", "_upto")).alias("s"))
+    over = over.select("_p", F.lit(99).alias("_class"), F.lit(0).cast("long").alias("_in_class"), "s.size", "s._upto", "_gap")
+
+    def fill(rows):
+        rows = rows.sort_values(["_class", "_in_class"], ascending=[False, True])
+        gap, taken, other = int(rows["_gap"].iloc[0]), [], []
+        exact = len(rows) * gap <= EXACT
+        for size, upto in zip(rows["size"].tolist(), rows["_upto"].tolist()):
+            if size <= gap and not exact:
+                gap -= size
+                exact = len(rows) * gap <= EXACT
+                taken.append(upto)
+            else:
+                other.append((size, upto))
+        other = [x for x in other if x[0] < 2 * gap]
+        taken += [other[i][1] for i in nearest_sum([size for size, _ in other], gap)]
+        return rows.loc[rows["_upto"].isin(taken), ["_p", "_upto"]].assign(_chosen=True)
+
+    return fitting.unionByName(over).groupBy("_p").applyInPandas(fill, "_p int, _upto long, _chosen boolean")
+
+
 def cycle_weights(names: list, cycle: tuple[int, ...] = (5, 2, 1)) -> dict:
     """Weights 5, 2, 1, repeating, in the given order of the sources."""
     return {s: cycle[i % len(cycle)] for i, s in enumerate(names)}
