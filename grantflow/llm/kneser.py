@@ -34,7 +34,7 @@ from .simhash import LOWER, SPACE
 from .suffixes import Hashes
 
 #: Tokens counted in one go, and bytes of text scored in one go.
-COUNTED, SCORED = 1 << 20, 1 << 21
+COUNTED, SCORED = 5 << 19, 1 << 21
 
 #: Bytes of training text per shard, and the most shards of a family (a power of two).
 SHARD_BYTES, MOST_SHARDS = 12_000_000, 1 << 16
@@ -158,7 +158,7 @@ def unplanes(raw: bytes, dtype) -> np.ndarray:
 
 
 def squeezed(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
 def unsqueezed(raw) -> bytes:
