@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,11 +121,18 @@ def firsts(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
 
 
+def first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows but later copies of a text with its id. As a filter of the table it would become part of the window below,
+    and the shuffle of the texts would not be reused."""
+    for batch in batches:
+        yield batch.filter(pc.equal(batch.column("_copy"), 1))
+
+
 def _anchor_rows(hot: np.ndarray, length: int, lead: int):
     """Rows ``(key, around, id, seq, packed, done)`` of texts without copies of their id; ``done`` rows are repeats already, all others are not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches, "_text", SOUGHT):
+        for batch in text_blocks(first_copies(batches), "_text", SOUGHT):
             flat, offsets = text_bytes(batch.column("_text"))
             hashes, at, start, strings = anchors(flat, offsets, length, lead)
             key = hashes.of(at, lead).view(np.int64)
@@ -179,7 +187,7 @@ def _surroundings(length: int):
     """Bytes around the open anchors of each document: ``(lead, key, id, seq, packed, bytes)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches, "_text"):
+        for batch in text_blocks(first_copies(batches), "_text"):
             flat, offsets = text_bytes(batch.column("_text"))
             lists = batch.column("items")
             ends = lists.offsets.to_numpy()
@@ -345,11 +353,11 @@ def remove_repeats(
     texts = base.withColumn("_seq", F.xxhash64("_text")).withColumn("_copy", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
     # All that follows takes all columns of ``texts``, so that the texts are shuffled once and that shuffle is reused.
     texts = texts.select(*row, "_copy", "_text", "_carry")
-    found = texts.where("_copy = 1").mapInArrow(_anchor_rows(hot, length, lead), "key long, around long, _id long, _seq long, packed long, done boolean")
+    found = texts.mapInArrow(_anchor_rows(hot, length, lead), "key long, around long, _id long, _seq long, packed long, done boolean")
     found = found.repartition("key").sortWithinPartitions("key")
     items = found.mapInArrow(_settle, "_id long, _seq long, packed long, key long")
     items = items.groupBy(*row).agg(F.collect_list(F.struct("packed", "key")).alias("items"))
-    open_ = texts.join(items, row).where("_copy = 1").select(*texts.columns, "items").mapInArrow(
+    open_ = texts.join(items, row).select(*texts.columns, "items").mapInArrow(
         _surroundings(length), "lead binary, key long, _id long, _seq long, packed long, around binary")
     open_ = open_.repartitionByRange("lead", "key").sortWithinPartitions("lead", "key")
     spans = open_.mapInArrow(_compare(length), "_id long, _seq long, start long, size long")
