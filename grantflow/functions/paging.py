@@ -34,11 +34,3 @@ def paged_lists(rows: DataFrame, keys: list[str], value: str, out: str, page: in
     paged = ranked.select("_group", "_value", F.least(place, pages - 1).alias("page"), pages.alias("pages"))
     lists = paged.groupBy("_group", "page", "pages").agg(F.sort_array(F.collect_list("_value")).alias(out))
     return lists.select(*[F.col("_group")[f"k{i}"].alias(k) for i, k in enumerate(keys)], "page", "pages", out)
-
-
-def joined_pages(paged: DataFrame, keys: list[str], out: str, separator: str = ",") -> DataFrame:
-    """Pages of a group as one text ``(keys, out)``, in order."""
-    parts = paged.select(group_key(keys).alias("_group"), F.struct("page", F.concat_ws(separator, out).alias("text")).alias("_part"))
-    parts = parts.groupBy("_group").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
-    return parts.select(
-        *[F.col("_group")[f"k{i}"].alias(k) for i, k in enumerate(keys)], F.concat_ws(separator, F.col("_parts")["text"]).alias(out))

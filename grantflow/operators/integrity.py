@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import TUPLE_COLS
+from ..session import literal_table
 from .closure import closure, node_id, node_type, tuple_edges
 
 
@@ -33,13 +34,30 @@ def migration_report(tuples: DataFrame, expected: DataFrame | None = None) -> Da
     )
 
 
-def check_cardinality(tuples: DataFrame, entities: DataFrame, relation: str) -> DataFrame:
-    """Entities ``(res_type, res_id)`` that do not have exactly one subject on ``relation``: adds ``n``."""
-    counts = tuples.where(F.col("relation") == relation).groupBy("res_type", "res_id").agg(F.count("*").alias("n"))
-    return (
-        entities.select("res_type", "res_id").distinct().join(counts, ["res_type", "res_id"], "left")
-        .withColumn("n", F.coalesce("n", F.lit(0))).where("n <> 1")
+# Cardinalities a model may state, with the least and the most subjects they allow.
+CARDINALITIES = [("ExactlyOne", 1, 1), ("AtMostOne", 0, 1), ("AtLeastOne", 1, None), ("Any", 0, None)]
+
+
+def check_cardinality(tuples: DataFrame, entities: DataFrame, spec: DataFrame) -> DataFrame:
+    """Entities ``(res_type, res_id)`` whose distinct subjects on a relation are too few or too many.
+
+    ``spec(res_type, relation, cardinality)`` states what the model asks for, one of :data:`CARDINALITIES`; any other
+    name is an error. Returns ``(res_type, res_id, relation, cardinality, n)``. All rules are checked together: the
+    tuples are counted once, and each entity meets the rules of its type.
+    """
+    kinds = literal_table(spec.sparkSession, CARDINALITIES, "cardinality string, least int, most int")
+    asked = spec.select("res_type", "relation", "cardinality").distinct().join(kinds, "cardinality", "left")
+    known = F.col("least").isNotNull() | F.raise_error(F.concat(F.lit("unknown cardinality "), F.coalesce("cardinality", F.lit("null")))).cast("boolean")
+    asked = asked.where(known).where("least > 0 or most is not null")
+    # Subjects repeat only inside one relation of one entity, so a distinct count needs no shuffle of its own.
+    counts = (
+        tuples.join(asked.select("res_type", "relation").distinct(), ["res_type", "relation"], "left_semi")
+        .select("res_type", "res_id", "relation", "sub_type", "sub_id", "sub_rel").distinct()
+        .groupBy("res_type", "res_id", "relation").agg(F.count("*").alias("n"))
     )
+    due = entities.select("res_type", "res_id").distinct().join(asked, "res_type")
+    found = due.join(counts, ["res_type", "res_id", "relation"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return found.where("n < least or n > most").select("res_type", "res_id", "relation", "cardinality", "n")
 
 
 def check_subject_types(tuples: DataFrame, allowed: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.paging import joined_pages
 from ..functions.text import decision_key, relation_key, schema_key
 from ..model import TUPLE_COLS
 from ..operators import cache as ca
@@ -433,15 +432,17 @@ def k02(spark, sf):
 
 @query(
     "k03_subject_lists",
-    f"""WITH {GRAPH_SQL} SELECT res_type, res_id, relation, CAST(0 AS BIGINT) AS page, CAST(1 AS BIGINT) AS pages,
-    string_agg(sub_type||':'||sub_id||CASE sub_rel WHEN '' THEN '' ELSE '#'||sub_rel END, ','
-      ORDER BY sub_type||':'||sub_id||CASE sub_rel WHEN '' THEN '' ELSE '#'||sub_rel END) AS subjects
-    FROM tup GROUP BY ALL""",
+    f"""WITH {GRAPH_SQL}, names AS (
+      SELECT DISTINCT res_type, res_id, relation,
+        sub_type||':'||sub_id||CASE sub_rel WHEN '' THEN '' ELSE '#'||sub_rel END AS subject FROM tup),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY res_type, res_id, relation ORDER BY subject) - 1 AS place,
+        count(*) OVER (PARTITION BY res_type, res_id, relation) AS n FROM names)
+    SELECT res_type, res_id, relation, place // 3 AS page, (n + 2) // 3 AS pages, string_agg(subject, ',' ORDER BY subject) AS subjects
+    FROM ranked GROUP BY ALL""",
 )
 def k03(spark, sf):
-    key = ["res_type", "res_id", "relation"]
-    whole = joined_pages(ca.subjects_list(graph(spark, sf)), key, "subjects")
-    return whole.select(*key, F.lit(0).cast("long").alias("page"), F.lit(1).cast("long").alias("pages"), "subjects")
+    pages = ca.subjects_list(graph(spark, sf), page=3)
+    return pages.select("res_type", "res_id", "relation", "page", "pages", F.concat_ws(",", "subjects").alias("subjects"))
 
 
 @query(

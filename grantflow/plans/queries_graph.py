@@ -199,11 +199,11 @@ def g13(spark, sf):
     "g14_lookup_resources",
     f"""WITH RECURSIVE {ACCESS_SQL} SELECT DISTINCT s.u AS sub_id, h.res_id FROM tup h JOIN scopeuser s
     ON s.tp = 'rbac/workspace' AND s.id = h.sub_id AND s.permission = 'inventory_host_update'
-    JOIN supplier ON s.u = 'u'||s_suppkey AND s_acctbal < 0 WHERE h.relation = 't_workspace'""",
+    JOIN supplier ON s.u = 'u'||s_suppkey AND s_suppkey % 5 = 0 WHERE h.relation = 't_workspace'""",
 )
 def g14(spark, sf):
     rules, _ = host_model(spark)
-    subjects = table(spark, sf, "supplier").where("s_acctbal < 0").select(
+    subjects = table(spark, sf, "supplier").where("s_suppkey % 5 = 0").select(
         F.lit(USER).alias("sub_type"), F.concat(F.lit("u"), F.col("s_suppkey")).alias("sub_id")
     )
     return ev.lookup_resources(graph(spark, sf), rules, HOST, "update", subjects).select("sub_id", "res_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import TUPLE_COLS
@@ -10,7 +13,7 @@ from ..operators import integrity as it
 from ..operators import migrate as mi
 from ..session import literal_table
 from .catalog import query
-from .derived import ACCESS_SQL, GRAPH_SQL, HOST, TENANT, USER, WS, graph, table
+from .derived import ACCESS_SQL, GRAPH_SQL, GROUP, HOST, PLATFORM, TENANT, USER, WS, graph, table
 from .queries_changes import memberships
 from .queries_graph import host_model, line_requests
 from .queries_sources import tag
@@ -280,22 +283,44 @@ def m11(spark, sf):
 
 @query(
     "m12_cardinality",
-    f"""WITH {GRAPH_SQL}, ent AS (SELECT 'c'||c_custkey AS id FROM customer UNION SELECT 'z'||n_nationkey FROM nation),
-    par AS (SELECT res_id, sub_id FROM tup WHERE res_type = 'rbac/workspace' AND relation = 't_parent'
-            UNION ALL SELECT 'c'||c_custkey, 'second' FROM customer WHERE c_acctbal < 0)
-    SELECT 'rbac/workspace' AS res_type, id AS res_id, count(par.res_id) AS n FROM ent LEFT JOIN par ON par.res_id = ent.id
-    GROUP BY id HAVING count(par.res_id) <> 1""",
+    f"""WITH {GRAPH_SQL}, ent AS (
+      SELECT 'rbac/workspace' AS tp, 'c'||c_custkey AS id FROM customer UNION SELECT 'rbac/workspace', 'z'||n_nationkey FROM nation
+      UNION SELECT 'hbi/host', 'o'||(o_orderkey + o_orderkey % 7 // 6) FROM orders
+      UNION SELECT 'rbac/group', 'gn'||n_nationkey FROM nation UNION SELECT 'rbac/group', 'gn'||(n_nationkey + 100) FROM nation
+      UNION SELECT 'rbac/tenant', 't'||r_regionkey FROM region),
+    spec(tp, relation, cardinality, least, most) AS (VALUES
+      ('rbac/workspace', 't_parent', 'ExactlyOne', 1, 1), ('hbi/host', 't_workspace', 'ExactlyOne', 1, 1),
+      ('rbac/tenant', 't_platform', 'AtMostOne', 0, 1), ('rbac/group', 't_member', 'AtLeastOne', 1, 1000000000)),
+    held AS (SELECT res_type, res_id, relation, sub_type, sub_id, sub_rel FROM tup
+      UNION SELECT 'rbac/workspace', 'c'||c_custkey, 't_parent', 'rbac/workspace', 'second', '' FROM customer WHERE c_acctbal < 0
+      UNION SELECT 'rbac/tenant', 't'||r_regionkey, 't_platform', 'rbac/platform', 'p1', '' FROM region WHERE r_regionkey > 2)
+    SELECT e.tp AS res_type, e.id AS res_id, s.relation, s.cardinality, count(h.res_id) AS n FROM ent e JOIN spec s ON s.tp = e.tp
+    LEFT JOIN held h ON h.res_type = e.tp AND h.res_id = e.id AND h.relation = s.relation
+    GROUP BY ALL HAVING count(h.res_id) < any_value(s.least) OR count(h.res_id) > any_value(s.most)""",
 )
 def m12(spark, sf):
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
-    extra = customer.where("c_acctbal < 0").select(
+    second = customer.where("c_acctbal < 0").select(
         F.lit(WS).alias("res_type"), tag("c", "c_custkey").alias("res_id"), F.lit("t_parent").alias("relation"),
         F.lit(WS).alias("sub_type"), F.lit("second").alias("sub_id"), F.lit("").alias("sub_rel"),
     )
-    entities = customer.select(F.lit(WS).alias("res_type"), tag("c", "c_custkey").alias("res_id")).unionByName(
-        nation.select(F.lit(WS).alias("res_type"), tag("z", "n_nationkey").alias("res_id"))
+    region = table(spark, sf, "region")
+    platform = region.where("r_regionkey > 2").select(
+        F.lit(TENANT).alias("res_type"), tag("t", "r_regionkey").alias("res_id"), F.lit("t_platform").alias("relation"),
+        F.lit(PLATFORM).alias("sub_type"), F.lit("p1").alias("sub_id"), F.lit("").alias("sub_rel"),
     )
-    return it.check_cardinality(graph(spark, sf).unionByName(extra), entities, "t_parent")
+    entities = [
+        customer.select(F.lit(WS).alias("res_type"), tag("c", "c_custkey").alias("res_id")),
+        nation.select(F.lit(WS), tag("z", "n_nationkey")),
+        table(spark, sf, "orders").select(F.lit(HOST), F.concat(F.lit("o"), F.expr("o_orderkey + o_orderkey % 7 div 6"))),
+        nation.select(F.lit(GROUP), tag("gn", "n_nationkey")), nation.select(F.lit(GROUP), F.concat(F.lit("gn"), F.col("n_nationkey") + 100)),
+        region.select(F.lit(TENANT), tag("t", "r_regionkey")),
+    ]
+    spec = literal_table(spark, [
+        (WS, "t_parent", "ExactlyOne"), (HOST, "t_workspace", "ExactlyOne"), (TENANT, "t_platform", "AtMostOne"),
+        (GROUP, "t_member", "AtLeastOne"), (WS, "t_binding", "Any"),
+    ], "res_type string, relation string, cardinality string")
+    return it.check_cardinality(graph(spark, sf).unionByName(second).unionByName(platform), reduce(DataFrame.union, entities), spec)
 
 
 def bad_parents(spark, sf):

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paging import joined_pages
 from ..operators import alerts as al
 from ..operators import metrics as me
 from ..session import cut, cut_table, shared_folder
@@ -349,12 +348,15 @@ al AS (
 
 @query(
     "t13_group_alerts",
-    f"""WITH {ALERT_SQL} SELECT alertname, cluster, service, t, count(DISTINCT series) AS alerts,
-    string_agg(DISTINCT series, ',' ORDER BY series) AS members FROM al GROUP BY ALL""",
+    f"""WITH {ALERT_SQL}, one AS (SELECT DISTINCT alertname, cluster, service, t, series FROM al),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY alertname, cluster, service, t ORDER BY series) - 1 AS place,
+        count(*) OVER (PARTITION BY alertname, cluster, service, t) AS alerts FROM one)
+    SELECT alertname, cluster, service, t, alerts, place // 4 AS page, (alerts + 3) // 4 AS pages,
+        string_agg(series, ',' ORDER BY series) AS members FROM ranked GROUP BY ALL""",
 )
 def t13(spark, sf):
-    g = joined_pages(al.group_alerts(alert_rows(spark, sf)), [*al.GROUP_BY, "ts", "alerts"], "members")
-    return g.select("alertname", "cluster", "service", at_us("ts"), "alerts", "members")
+    g = al.group_alerts(alert_rows(spark, sf), page=4)
+    return g.select("alertname", "cluster", "service", at_us("ts"), "alerts", "page", "pages", F.concat_ws(",", "members").alias("members"))
 
 
 def group_content(spark, sf):

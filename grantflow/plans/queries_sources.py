@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -258,19 +259,36 @@ def nested_principals(spark, sf):
 
 @query(
     "s10_principal_directory",
-    """SELECT c_name AS username, 'membership' AS kind, 'g'||c_nationkey AS ref FROM customer
-    UNION ALL SELECT c_name, 'assignment', lower(c_mktsegment) FROM customer WHERE c_acctbal > 0
-    UNION ALL SELECT c_name, 'principal', c_mktsegment FROM customer""",
+    """SELECT 'membership' AS kind, c_name AS name, 'g'||c_nationkey AS ref, 'group '||c_nationkey AS detail FROM customer
+    UNION ALL SELECT 'assignment', c_name, lower(c_mktsegment), c_mktsegment FROM customer WHERE c_acctbal > 0
+    UNION ALL SELECT 'principals', c_name, c_mktsegment, CASE WHEN c_acctbal > 9000 THEN 'true' ELSE 'false' END FROM customer
+    UNION ALL SELECT 'groups', 'group '||n_nationkey, 'g'||n_nationkey, CASE WHEN n_regionkey = 0 THEN 'true' ELSE 'false' END FROM nation
+    UNION ALL SELECT 'roles', p_name, 'r'||p_partkey, p_brand FROM part
+    UNION ALL SELECT 'role_permissions', p_name, 'r'||p_partkey, unnest([p_type||':*:read', p_type||':'||p_brand||':write']) FROM part WHERE p_size > 5""",
 )
 def s10(spark, sf):
-    flat = directory.flatten_principals(nested_principals(spark, sf))
-
-    def rows(name, kind, col):
-        return flat[name].select("username", F.lit(kind).alias("kind"), F.col(col).alias("ref"))
-
-    return rows("membership", "membership", "group_uuid").unionByName(
-        rows("assignment", "assignment", "role_uuid")
-    ).unionByName(rows("principals", "principal", "org_id"))
+    """Directory documents written as JSON Lines, read back, and flattened to all six tables."""
+    path = f"{shared_folder(spark)}/directory-{uuid.uuid4().hex}"
+    people = nested_principals(spark, sf).select(F.array(F.struct("*")).alias("principals"))
+    groups = table(spark, sf, "nation").select(F.array(F.struct(
+        tag("g", "n_nationkey").alias("uuid"), tag("group ", "n_nationkey").alias("name"), (F.col("n_regionkey") == 0).alias("platform_default"),
+    )).alias("groups"))
+    granted = F.array(F.concat("p_type", F.lit(":*:read")), F.concat_ws(":", "p_type", "p_brand", F.lit("write")))
+    roles = table(spark, sf, "part").select(F.array(F.struct(
+        tag("r", "p_partkey").alias("uuid"), F.col("p_name").alias("name"), F.col("p_brand").alias("description"),
+        F.when(F.col("p_size") > 5, granted).alias("permissions"),
+    )).alias("roles"))
+    people.unionByName(groups, allowMissingColumns=True).unionByName(roles, allowMissingColumns=True).write.json(path)
+    flat = directory.flatten_directory(directory.read_directory(spark, path, lines=True))
+
+    def rows(kind, name, ref, detail):
+        return flat[kind].select(F.lit(kind).alias("kind"), F.col(name).alias("name"), F.col(ref).alias("ref"), F.col(detail).cast("string").alias("detail"))
+
+    return reduce(DataFrame.unionByName, [
+        rows("membership", "username", "group_uuid", "group_name"), rows("assignment", "username", "role_uuid", "role_name"),
+        rows("principals", "username", "org_id", "is_org_admin"), rows("groups", "name", "uuid", "platform_default"),
+        rows("roles", "name", "uuid", "description"), rows("role_permissions", "role_name", "role_uuid", "permission"),
+    ])
 
 
 @query(

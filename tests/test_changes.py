@@ -127,7 +127,13 @@ def test_validation_cases(spark):
 def test_lint_and_cardinality(spark):
     t = m.tuples(spark, [("d:1", "t_workspace", "w:1"), ("d:1", "t_workspace", "w:2"), ("w:1", "t_parent", "d:1")])
     ents = spark.createDataFrame([("d", "1"), ("d", "2")], "res_type string, res_id string")
-    assert {(r.res_id, r.n) for r in it.check_cardinality(t, ents, "t_workspace").collect()} == {("1", 2), ("2", 0)}
+    kinds = {"ExactlyOne": {("1", 2), ("2", 0)}, "AtMostOne": {("1", 2)}, "AtLeastOne": {("2", 0)}, "Any": set()}
+    for kind, wrong in kinds.items():
+        spec = spark.createDataFrame([("d", "t_workspace", kind), ("w", "t_parent", "ExactlyOne")], "res_type string, relation string, cardinality string")
+        assert {(r.res_id, r.n) for r in it.check_cardinality(t.unionByName(t), ents, spec).collect()} == wrong
+    unknown = spark.createDataFrame([("d", "t_workspace", "Some")], "res_type string, relation string, cardinality string")
+    with pytest.raises(Exception, match="unknown cardinality"):
+        it.check_cardinality(t, ents, unknown).collect()
     allowed = spark.createDataFrame(
         [("d", "t_workspace", "w", "", False), ("w", "t_parent", "w", "", False)],
         "res_type string, relation string, sub_type string, sub_rel string, wildcard boolean",
