@@ -46,9 +46,10 @@ def check_cardinality(tuples: DataFrame, entities: DataFrame, spec: DataFrame) -
     tuples are counted once, and each entity meets the rules of its type.
     """
     kinds = literal_table(spec.sparkSession, CARDINALITIES, "cardinality string, least int, most int")
-    asked = spec.select("res_type", "relation", "cardinality").distinct().join(kinds, "cardinality", "left")
-    known = F.col("least").isNotNull() | F.raise_error(F.concat(F.lit("unknown cardinality "), F.coalesce("cardinality", F.lit("null")))).cast("boolean")
-    asked = asked.where(known).where("least > 0 or most is not null")
+    unknown = spec.join(kinds, "cardinality", "left_anti").first()
+    if unknown is not None:
+        raise ValueError(f"unknown cardinality {unknown['cardinality']}")
+    asked = spec.select("res_type", "relation", "cardinality").distinct().join(kinds, "cardinality").where("least > 0 or most is not null")
     # Subjects repeat only inside one relation of one entity, so a distinct count needs no shuffle of its own.
     counts = (
         tuples.join(asked.select("res_type", "relation").distinct(), ["res_type", "relation"], "left_semi")

@@ -253,6 +253,17 @@ def c06(spark, sf):
     return jobs.current_tuples(target).select("res_id", "sub_id")
 
 
+@query("c06_dead_letters", f"WITH {FLAT_SQL} SELECT CAST(key AS VARCHAR) AS key, count(*) OVER () AS bad, (SELECT count(*) FROM flat) AS messages FROM flat WHERE bad")
+def c06b(spark, sf):
+    """Malformed messages of the running stream as a table, with the counts of its batches."""
+    path = scratch(spark, "outputs")
+    stream = jobs.read_event_stream(spark, cut_table(messages(spark, sf)).path)
+    jobs.workspace_stream(stream, jobs.workspace_table(spark, scratch(spark, "tuples")), scratch(spark, "state"), outputs=path).awaitTermination()
+    counts = spark.read.parquet(f"{path}/counts").agg(F.sum("bad").alias("bad"), F.sum(F.col("good") + F.col("bad")).alias("messages"))
+    dead = spark.read.parquet(f"{path}/dead").select("key", F.lit(1).alias("one"))
+    return dead.join(counts.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @query(
     "c07_deduplicate",
     f"WITH {ENVELOPE_SQL} SELECT namespace, op, count(*) AS events FROM env GROUP BY ALL",

@@ -9,7 +9,7 @@ from ..operators import roles as ro
 from ..operators.closure import ancestors, userset_members
 from ..session import cut
 from .catalog import query
-from .derived import ACCESS_SQL, GRAPH_SQL, GROUP, HOST, USER, WS, graph, table
+from .derived import ACCESS_SQL, GRAPH_SQL, GROUP, HOST, PLATFORM, TENANT, USER, WS, graph, table
 
 ALIASES = {(GROUP, "member"): ["t_member"]}
 
@@ -263,19 +263,19 @@ def g16(spark, sf):
 
 @query(
     "g17_effective_access",
-    f"""WITH RECURSIVE {ACCESS_SQL} SELECT tp AS type, id, permission, u AS principal FROM scopeuser
-    UNION ALL SELECT DISTINCT 'hbi/host', h.res_id, CASE s.permission WHEN 'inventory_host_view' THEN 'view' ELSE 'update' END, s.u
-    FROM tup h JOIN scopeuser s ON s.tp = h.sub_type AND s.id = h.sub_id
-    WHERE h.relation = 't_workspace' AND s.permission IN ('inventory_host_view', 'inventory_host_update')""",
+    f"""WITH RECURSIVE {ACCESS_SQL}, {CONTINGENT_SQL}, every AS (
+      SELECT tp, id, permission, u FROM scopeuser UNION ALL SELECT tp, id, 'patch_system_view', u FROM pair)
+    SELECT tp AS type, id, permission, u AS principal FROM every
+    UNION ALL SELECT DISTINCT 'hbi/host', h.res_id, CASE s.permission WHEN 'inventory_host_view' THEN 'view'
+      WHEN 'inventory_host_update' THEN 'update' ELSE s.permission END, s.u FROM tup h JOIN every s ON s.tp = h.sub_type AND s.id = h.sub_id
+    WHERE h.relation = 't_workspace' AND s.permission <> 'patch_system_view_assigned'""",
 )
 def g17(spark, sf):
-    """Access at every scope and on every host; grants stay at group level until the end."""
-    t, scopes, members = scope_access(spark, sf)
-    names = {"inventory_host_view": "view", "inventory_host_update": "update"}
-    own = scopes.where(F.col("permission").isin(*names))
-    hosts = ro.resource_grants(t, own, HOST).replace(names, subset=["permission"])
-    return ev.open_usersets(scopes.unionByName(hosts.select(*scopes.columns)), members).select(
-        "type", "id", "permission", F.col("sub_id").alias("principal"))
+    """Access at every scope and on every host, host permissions with an intersection among them."""
+    access = ev.effective_access(graph(spark, sf), host_model(spark)[0])
+    scoped = F.col("res_type").isin(WS, TENANT, PLATFORM) & ~F.col("permission").startswith("t_")
+    host = (F.col("res_type") == HOST) & F.col("permission").isin("view", "update", "patch_system_view")
+    return access.where(scoped | host).select(F.col("res_type").alias("type"), F.col("res_id").alias("id"), "permission", F.col("sub_id").alias("principal"))
 
 
 V1_SQL = """

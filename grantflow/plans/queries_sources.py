@@ -195,9 +195,10 @@ def outbox(spark, sf):
     'v1beta2' AS version FROM orders""",
 )
 def s07(spark, sf):
-    """Outbox messages written by topic and read back."""
+    """Outbox messages written by topic, once more as after a failure, and read back."""
     path = f"{shared_folder(spark)}/topics-{uuid.uuid4().hex}"
-    sinks.write_by_topic(cdc.route_outbox(outbox(spark, sf), "edge"), path)
+    for _ in range(2):
+        sinks.write_by_topic(cdc.route_outbox(outbox(spark, sf), "edge"), path, 0)
     return spark.read.parquet(path).select(
         "event_id", "topic", "key", "event_type", F.col("payload")["workspace_id"].alias("workspace_id"),
         F.col("headers")["operation"].alias("operation"), F.col("headers")["version"].alias("version"),
@@ -414,10 +415,12 @@ def s15(spark, sf):
     strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day FROM env""",
 )
 def s16(spark, sf):
-    """Audit rows written by day and read back."""
+    """Audit rows written by day, a half twice as after a failure, and read back."""
     rows, path = sinks.audit_log(cdc.decode_envelope(envelope_json(spark, sf))), f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
-    sinks.write_audit(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    half = F.pmod(F.xxhash64("resource"), F.lit(2))
+    for batch_id in (0, 1, 1):
+        sinks.write_audit(rows.where(half == batch_id), path, batch_id)
+    return sinks.read_batches(rows, path)
 
 
 @query(

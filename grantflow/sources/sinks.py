@@ -28,15 +28,28 @@ def audit_log(df: DataFrame) -> DataFrame:
     )
 
 
-def write_audit(df: DataFrame, path: str, files_per_day: int = 8) -> None:
-    """Append audit rows by day; rows of one day are spread over up to ``files_per_day`` files by resource."""
+def write_batch(df: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
+    """Write one batch into its own folder ``batch=<id>``, divided by the columns ``by``.
+
+    A batch that is written again, as after a failure, replaces what it wrote before, so no row counts twice.
+    """
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={batch_id}")
+
+
+def read_batches(df: DataFrame, path: str) -> DataFrame:
+    """All batches so far, with the columns of ``df``, which is what one of them looks like."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def write_audit(df: DataFrame, path: str, batch_id: int, files_per_day: int = 8) -> None:
+    """Audit rows of one batch by day; rows of one day are spread over up to ``files_per_day`` files by resource."""
     spread = F.pmod(F.xxhash64("resource"), F.lit(files_per_day))
-    df.repartition("day", spread).write.mode("append").partitionBy("day").parquet(path)
+    write_batch(df.repartition("day", spread), path, batch_id, ("day",))
 
 
-def write_by_topic(df: DataFrame, path: str) -> None:
-    """Append messages into one folder per topic."""
-    df.write.mode("append").partitionBy("topic").parquet(path)
+def write_by_topic(df: DataFrame, path: str, batch_id: int) -> None:
+    """Messages of one batch, in one folder per topic."""
+    write_batch(df, path, batch_id, ("topic",))
 
 
 def search_index_view(df: DataFrame, order: str = "lsn") -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import TUPLE_COLS
 from ..operators.relate import dispatch, latest_state, workspace_tuples
 from ..sources.cdc import decode_flat_cdc
+from ..sources.sinks import write_batch
 
 EVENT = T.StructType(
     [
@@ -114,25 +115,43 @@ def _run(stream: DataFrame, apply, checkpoint: str):
 
 
 def workspace_stream(
-    events: DataFrame, table: ChangeTable, checkpoint: str, *, on_bad: Callable[[DataFrame, int], None] | None = None
+    events: DataFrame, table: ChangeTable, checkpoint: str, *, on_bad: Callable[[DataFrame, int], None] | None = None,
+    outputs: str | None = None,
 ):
     """Start the flow: flattened change messages to the newest image per workspace.
 
     Duplicates and late messages cannot bring back an older parent, and an update replaces the previous parent.
-    ``current_tuples`` turns the table into tuples. Malformed messages go to ``on_bad``. A failing batch stops
-    the query and is retried from the checkpoint, so nothing is skipped.
+    ``current_tuples`` turns the table into tuples. Malformed messages go to ``on_bad``, and with a folder
+    ``outputs`` to the table ``dead`` in it, while ``counts`` has the good and bad messages of every batch. A
+    micro-batch is read once for all of them. A failing batch stops the query and is retried from the checkpoint;
+    every output replaces what it wrote for that batch, so nothing is skipped and nothing counts twice.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        good, bad = decode_flat_cdc(batch.select("key", "value"))
-        if on_bad is not None:
-            on_bad(bad, batch_id)
-        routed = dispatch(good).where("route like 'workspace_%' and coalesce(id, '') <> ''")
-        table.put(routed.select(*STATE.names), batch_id)
+        batch = batch.select("key", "value").persist()
+        try:
+            good, bad = decode_flat_cdc(batch)
+            if on_bad is not None:
+                on_bad(bad, batch_id)
+            if outputs is not None:
+                keep_dead(batch, bad, outputs, batch_id)
+            routed = dispatch(good).where("route like 'workspace_%' and coalesce(id, '') <> ''")
+            table.put(routed.select(*STATE.names), batch_id)
+        finally:
+            batch.unpersist()
 
     return _run(events, apply, checkpoint)
 
 
+def keep_dead(batch: DataFrame, bad: DataFrame, outputs: str, batch_id: int) -> None:
+    """Write the dead letters of a micro-batch and how many messages it had; both are counted while they are written."""
+    seen = Observation(f"dead-{batch_id}")
+    write_batch(bad.observe(seen, F.count(F.lit(1)).alias("bad")), f"{outputs}/dead", batch_id)
+    counts = batch.agg(F.count(F.lit(1)).alias("messages")).select(
+        F.lit(batch_id).cast("long").alias("batch_id"), (F.col("messages") - F.lit(seen.get["bad"])).alias("good"), F.lit(seen.get["bad"]).cast("long").alias("bad"))
+    write_batch(counts, f"{outputs}/counts", batch_id)
+
+
 def current_tuples(table: ChangeTable) -> DataFrame:
     """Tuples of the live workspaces in the table."""
     return workspace_tuples(table.read().where("op <> 'd'")).drop("sign")
@@ -159,8 +178,12 @@ def two_stage(
     outbox = f"{resource_path}/outbox"
 
     def first(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{resource_path}/rows/batch={batch_id}")
-        to_updates(batch).write.mode("overwrite").parquet(f"{outbox}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            write_batch(batch, f"{resource_path}/rows", batch_id)
+            write_batch(to_updates(batch), outbox, batch_id)
+        finally:
+            batch.unpersist()
 
     _run(resources, first, f"{checkpoint}/one").awaitTermination()
     second = resources.sparkSession.readStream.schema(table.schema).parquet(f"{outbox}/batch=*")
