@@ -377,21 +377,24 @@ def g21(spark, sf):
         SELECT res_id, sub_id FROM tup WHERE relation = 't_member' AND sub_rel = 'member' AND res_id <> 'gr0'
         UNION ALL SELECT 'gr1', 'gn0') t JOIN member2 m ON t.sub_id = m.g),
     after AS (SELECT DISTINCT s.tp, s.id, s.permission, coalesce(m.u, s.sub_id) AS u FROM scopegrant s
-      LEFT JOIN member2 m ON s.sub_rel = 'member' AND m.g = s.sub_id WHERE s.sub_rel = '' OR m.u IS NOT NULL)
-    SELECT tp AS type, id, permission, u AS principal, 'lost' AS change
-      FROM (SELECT tp, id, permission, u FROM scopeuser EXCEPT SELECT * FROM after)
-    UNION ALL SELECT tp, id, permission, u, 'gained'
-      FROM (SELECT * FROM after EXCEPT SELECT tp, id, permission, u FROM scopeuser)""",
+      LEFT JOIN member2 m ON s.sub_rel = 'member' AND m.g = s.sub_id WHERE s.sub_rel = '' OR m.u IS NOT NULL),
+    diff AS (SELECT tp, id, permission, u, 'lost' AS change FROM (SELECT tp, id, permission, u FROM scopeuser EXCEPT SELECT * FROM after)
+      UNION ALL SELECT tp, id, permission, u, 'gained' FROM (SELECT * FROM after EXCEPT SELECT tp, id, permission, u FROM scopeuser))
+    SELECT tp AS type, id, permission, u AS principal, change FROM diff
+    UNION ALL SELECT 'hbi/host', h.res_id, CASE d.permission WHEN 'inventory_host_view' THEN 'view' ELSE 'update' END, d.u, d.change
+    FROM tup h JOIN diff d ON d.tp = h.sub_type AND d.id = h.sub_id
+    WHERE h.relation = 't_workspace' AND d.permission <> 'patch_system_view_assigned'""",
 )
 def g22(spark, sf):
-    t, scopes, members = scope_access(spark, sf)
-    dropped = (F.col("relation") == "t_member") & (F.col("sub_rel") == "member") & (F.col("res_id") == "gr0")
-    moved = table(spark, sf, "nation").where("n_nationkey = 0").select(
+    """What one regrouping changes at scopes and on hosts, from the changed tuples on."""
+    t, rules = graph(spark, sf), host_model(spark)[0]
+    removed = t.where((F.col("relation") == "t_member") & (F.col("sub_rel") == "member") & (F.col("res_id") == "gr0"))
+    added = table(spark, sf, "nation").where("n_nationkey = 0").select(
         F.lit(GROUP).alias("res_type"), F.lit("gr1").alias("res_id"), F.lit("t_member").alias("relation"),
         F.lit(GROUP).alias("sub_type"), F.concat(F.lit("gn"), F.col("n_nationkey")).alias("sub_id"),
         F.lit("member").alias("sub_rel"),
     )
-    after = t.where(~dropped).unionByName(moved)
-    _, scopes2, members2 = scope_access(spark, sf, after)
-    diff = ev.access_diff(cut(ev.open_usersets(scopes, members)), cut(ev.open_usersets(scopes2, members2)))
-    return diff.select("type", "id", "permission", F.col("sub_id").alias("principal"), "change")
+    leaves = [p for *_, p in ro.HOST_PERMISSIONS]
+    targets = {(scope, p) for scope in (WS, TENANT, PLATFORM) for p in leaves} | {(HOST, "view"), (HOST, "update")}
+    diff = ev.access_changes(t, removed, added, rules, targets)
+    return diff.select(F.col("res_type").alias("type"), F.col("res_id").alias("id"), "permission", F.col("sub_id").alias("principal"), "change")
