@@ -7,15 +7,17 @@ counter is a restart, and nothing is extrapolated to the edges of the range.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.ordered import time_chunk, with_previous
+from ..functions.ordered import block_chunk, with_previous
 
 SERIES = ["name", "series"]
-CHUNK = 86_400  # seconds of one series handled by one task
+CHUNK = 86_400  # seconds of one series whose panes are put in order by one task
 
 
 def series_key(labels: Column) -> Column:
@@ -28,7 +30,7 @@ def series_labels(series: Column) -> Column:
 
 
 def _grid(us: Column, range_s: int, step_s: int) -> Column:
-    """Evaluation times (microseconds) whose look-back contains the sample."""
+    """Evaluation times (microseconds) whose look-back contains the pane that ends at ``us``."""
     step, span = F.lit(step_s * 1_000_000), F.lit(range_s * 1_000_000)
     first = us + F.pmod(-us, step)
     last = us + span - 1
@@ -36,61 +38,95 @@ def _grid(us: Column, range_s: int, step_s: int) -> Column:
     return F.when(last >= first, F.sequence(first, last, step)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _increases(df: DataFrame, chunk: int) -> DataFrame:
-    rows = df.select("name", series_key(F.col("labels")).alias("series"), "ts", "value")
-    rows = with_previous(rows, SERIES, ["ts"], ["ts", "value"], time_chunk(F.col("ts"), chunk))
-    grown = F.when(F.col("value") < F.col("prev_value"), F.col("value")).otherwise(F.col("value") - F.col("prev_value"))
-    return rows.select(
-        *SERIES, F.unix_micros("ts").alias("us"), F.unix_micros("prev_ts").alias("prev_us"), grown.alias("grown"),
-        "value",
-    )
+def _increase(before: Column, after: Column) -> Column:
+    """Growth of a counter between two samples; a falling value is a restart from zero."""
+    return F.when(after < before, after).otherwise(after - before)
 
 
-def rate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK) -> DataFrame:
-    """Per-second increase over the look-back at every evaluation time: ``(name, labels, t, value)``.
+def _panes(df: DataFrame, range_s: int, step_s: int) -> DataFrame:
+    """Samples ``(name, series, us, value)`` with the end of their ``pane``: the largest equal slices of time of which
+    every look-back is made."""
+    width = F.lit(math.gcd(range_s, step_s) * 1_000_000)
+    rows = df.select("name", series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("us"), "value")
+    return rows.withColumn("pane", F.col("us") + F.pmod(-F.col("us"), width))
 
-    Samples are added into their evaluation times before the shuffle, so a busy series is summed map-side.
+
+def ranges(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK) -> DataFrame:
+    """What rates and last values are made of, per series and evaluation time in one pass over the samples.
+
+    Columns: ``name, series, t``, the number ``n`` and first and last time ``lo, hi`` of the samples in the look-back,
+    their increase ``grown``, the last two samples as ``tail`` (``us, prev_us, grown``) and the ``last`` value. A
+    series is ordered inside its panes, so a task gets the samples of one series in one pane at most; only one row per
+    pane is carried over the borders and added to the evaluation times. Of samples with equal time the larger value
+    counts as the later one.
     """
-    span = range_s * 1_000_000
-    rows = _increases(df, chunk).withColumn("t", F.explode(_grid(F.col("us"), range_s, step_s)))
-    inside = F.col("prev_us") > F.col("t") - F.lit(span)
+    order = F.struct("us", "value")
+    inside = Window.partitionBy(*SERIES, "pane").orderBy("us", "value")
+    rows = _panes(df, range_s, step_s).withColumns(
+        {"prev_us": F.lag("us").over(inside), "grown": _increase(F.lag("value").over(inside), F.col("value"))}
+    )
+    panes = rows.groupBy(*SERIES, "pane").agg(
+        F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"), F.sum("grown").alias("rest"),
+        F.min_by("value", order).alias("head"), F.max_by("value", order).alias("last"),
+        F.max_by(F.struct("us", "prev_us", "grown"), order).alias("tail"),
+    )
+    panes = with_previous(panes, SERIES, ["pane"], ["hi", "last"], block_chunk(F.col("pane"), chunk * 1_000_000))
+    panes = panes.withColumn("across", _increase(F.col("prev_last"), F.col("head")))
+    border = F.struct(F.col("hi").alias("us"), F.col("prev_hi").alias("prev_us"), F.col("across").alias("grown"))
+    panes = panes.withColumn("tail", F.when(F.col("n") == 1, border).otherwise(F.col("tail")))
+    panes = panes.withColumn("t", F.explode(_grid(F.col("pane"), range_s, step_s)))
+    joined = F.when(F.col("prev_hi") > F.col("t") - F.lit(range_s * 1_000_000), F.col("across"))
     return (
-        rows.groupBy(*SERIES, "t")
+        panes.groupBy(*SERIES, "t")
         .agg(
-            F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"),
-            F.sum(F.when(inside, F.col("grown"))).alias("grown"),
-        )
-        .where("n >= 2 and hi > lo")
-        .select(
-            "name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"),
-            (F.col("grown") / ((F.col("hi") - F.col("lo")) / 1e6)).alias("value"),
+            F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.sum(F.coalesce(F.col("rest") + joined, "rest", joined)).alias("grown"),
+            F.max_by("tail", "pane").alias("tail"), F.max_by("last", "pane").alias("last"),
         )
     )
 
 
+def rate_value() -> Column:
+    """Per-second increase of a row of :func:`ranges`; null with fewer than two samples or no time between them."""
+    return F.when(
+        (F.col("n") >= 2) & (F.col("hi") > F.col("lo")), F.col("grown") / ((F.col("hi") - F.col("lo")) / 1e6)
+    )
+
+
+def irate_value(range_s: int) -> Column:
+    """Increase per second between the last two samples; null where they are not both in the look-back or of one time."""
+    tail = F.col("tail")
+    both = (tail["prev_us"] > F.col("t") - F.lit(range_s * 1_000_000)) & (tail["us"] > tail["prev_us"])
+    return F.when(both, tail["grown"] / ((tail["us"] - tail["prev_us"]) / 1e6))
+
+
+def _by_labels(df: DataFrame, value: Column) -> DataFrame:
+    return df.select("name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"), value.alias("value"))
+
+
+def rate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK) -> DataFrame:
+    """Per-second increase over the look-back at every evaluation time: ``(name, labels, t, value)``."""
+    rows = ranges(df, range_s, step_s, chunk=chunk)
+    return _by_labels(rows.where("n >= 2 and hi > lo"), rate_value())
+
+
 def irate(df: DataFrame, range_s: int, step_s: int = 30, *, chunk: int = CHUNK) -> DataFrame:
     """Rate between the last two samples of the look-back."""
-    span = range_s * 1_000_000
-    rows = _increases(df, chunk).withColumn("t", F.explode(_grid(F.col("us"), range_s, step_s)))
-    last = F.max_by(F.struct("us", "prev_us", "grown"), "us").alias("l")
-    return (
-        rows.groupBy(*SERIES, "t").agg(last)
-        .where(F.col("l.prev_us") > F.col("t") - F.lit(span))
-        .select(
-            "name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"),
-            (F.col("l.grown") / ((F.col("l.us") - F.col("l.prev_us")) / 1e6)).alias("value"),
-        )
-    )
+    rows = ranges(df, range_s, step_s, chunk=chunk)
+    inside = F.col("tail.prev_us") > F.col("t") - F.lit(range_s * 1_000_000)
+    return _by_labels(rows.where(inside), irate_value(range_s))
 
 
 def instant(df: DataFrame, step_s: int = 30, lookback_s: int = 300) -> DataFrame:
-    """Last sample of each series at every evaluation time, no older than the look-back."""
-    rows = df.select("name", series_key(F.col("labels")).alias("series"), F.unix_micros("ts").alias("us"), "value")
-    rows = rows.withColumn("t", F.explode(_grid(F.col("us"), lookback_s, step_s)))
-    return (
-        rows.groupBy(*SERIES, "t").agg(F.max_by("value", "us").alias("value"))
-        .select("name", series_labels(F.col("series")), F.timestamp_micros("t").alias("t"), "value")
+    """Last sample of each series at every evaluation time, no older than the look-back.
+
+    Samples are first reduced to the last one of their pane, before any shuffle.
+    """
+    panes = _panes(df, lookback_s, step_s).groupBy(*SERIES, "pane").agg(
+        F.max_by("value", F.struct("us", "value")).alias("value")
     )
+    panes = panes.withColumn("t", F.explode(_grid(F.col("pane"), lookback_s, step_s)))
+    return _by_labels(panes.groupBy(*SERIES, "t").agg(F.max_by("value", "pane").alias("value")), F.col("value"))
 
 
 def agg_by(df: DataFrame, labels: list[str], how: str = "sum", time: str = "t") -> DataFrame:
@@ -124,8 +160,8 @@ def bucket_bound(label: Column) -> Column:
     return F.when(label == "+Inf", F.lit(float("inf"))).otherwise(label.cast("double"))
 
 
-def histogram_quantile(df: DataFrame, q: float, by: list[str]) -> DataFrame:
-    """Quantile from cumulative buckets ``(by..., le DOUBLE, value)`` with linear interpolation.
+def histogram_quantile(df: DataFrame, q: float | Column, by: list[str]) -> DataFrame:
+    """Quantile from cumulative buckets ``(by..., le DOUBLE, value)`` with linear interpolation; ``q`` may be a column.
 
     The lowest bucket starts at 0; a quantile in the infinite bucket is the highest finite bound. Groups
     without observations give no row. A group is one row per bound, so the window stays small.
@@ -134,7 +170,7 @@ def histogram_quantile(df: DataFrame, q: float, by: list[str]) -> DataFrame:
     whole = Window.partitionBy(*by)
     rows = (
         df.withColumn("_low", F.lag("le").over(order)).withColumn("_below", F.lag("value").over(order))
-        .withColumn("_rank", F.lit(float(q)) * F.max("value").over(whole))
+        .withColumn("_rank", (q if isinstance(q, Column) else F.lit(float(q))) * F.max("value").over(whole))
     )
     hit = rows.where("value >= _rank and value > 0")
     low, below = F.coalesce("_low", F.lit(0.0)), F.coalesce("_below", F.lit(0.0))
@@ -205,6 +241,12 @@ def compare(col: Column, op: str, bound: float) -> Column:
     return tests[op]
 
 
+def compare_by(col: Column, op: Column, bound: Column) -> Column:
+    """:func:`compare` with the operator in a column."""
+    tests = {">": col > bound, "<": col < bound, ">=": col >= bound, "<=": col <= bound, "==": col == bound, "!=": col != bound}
+    return F.coalesce(*[F.when(op == name, test) for name, test in tests.items()])
+
+
 def threshold(df: DataFrame, op: str, bound: float) -> DataFrame:
     """Rows of a series that satisfy the comparison."""
     return df.where(compare(F.col("value"), op, bound))

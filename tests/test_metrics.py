@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from grantflow.operators import alerts as al
@@ -70,25 +71,49 @@ def test_alert_states_pending_never_fires_when_short(spark):
         assert got == ["pending", "pending", "inactive", "pending", "pending", "firing", "firing"]
 
 
-def test_throttle_against_brute_force(spark):
-    rnd = random.Random(3)
-    rows, s = [], 0
-    for _ in range(200):
-        s += rnd.choice([10, 10, 10, 20, 70, 400])
-        rows.append(("g", s, rnd.choice("aaaab")))
-    want, last, prev = [], None, None
-    for _, t, c in rows:
-        if c != prev:
-            want.append((t, c))
-            last = t
-        elif t - last >= 300:
-            want.append((t, c))
+def throttled(rows, repeat, wait):
+    """``(time, content, reason)`` of one group whose rows are in order, one per interval."""
+    told, last, prev = [], None, None
+    begin = rows[0][0] + wait
+    early = [c for t, c in rows if t <= begin]
+    for t, c in [(begin, early[-1]), *[r for r in rows if r[0] > begin]]:
+        if last is None or c != prev or t - last >= repeat:
+            told.append((t, c, "first" if last is None else "repeat" if c == prev else "changed"))
             last = t
         prev = c
+    return told
+
+
+def walk_rows(rnd, n, contents, steps):
+    rows, s = [], 0
+    for _ in range(n):
+        s += rnd.choice(steps)
+        rows.append((s, rnd.choice(contents)))
+    return rows
+
+
+@pytest.mark.parametrize("wait", [0, 50])
+def test_throttle_against_brute_force(spark, wait):
+    rnd = random.Random(3)
+    groups = {
+        "g": walk_rows(rnd, 200, "aaaab", [10, 10, 10, 20, 70, 400]),
+        "calm": walk_rows(rnd, 400, "a", [10, 10, 20, 70, 400, 900]),  # many chunks without a change
+        "rare": walk_rows(rnd, 300, "a" * 80 + "b", [10, 20, 330]),
+        None: walk_rows(rnd, 60, ["a", None], [10, 400]),
+    }
+    rows = [(g, s, c) for g, part in groups.items() for s, c in part]
+    rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, s int, content string").withColumn("ts", F.timestamp_seconds("s"))
-    for chunk in (500, 86_400):
-        got = al.throttle(df, ["g"], repeat_s=300, interval_s=10, chunk=chunk).orderBy("sent_at").collect()
-        assert [(int(r.sent_at.timestamp()), r.content) for r in got] == want
+    want = sorted((str(g), *x) for g, part in groups.items() for x in throttled(part, 300, wait))
+    for chunk in (60, 500, 86_400):
+        got = al.throttle(df, ["g"], repeat_s=300, interval_s=10, group_wait_s=wait, chunk=chunk).collect()
+        assert sorted((str(r.g), int(r.sent_at.timestamp()), r.content, r.reason) for r in got) == want
+
+
+def test_throttle_of_nothing_and_of_one_group_without_keys(spark):
+    df = spark.createDataFrame([(0, "a"), (5, "b"), (None, "c")], "s int, content string").withColumn("ts", F.timestamp_seconds("s"))
+    assert [(r.content, r.reason) for r in al.throttle(df, []).collect()] == [("b", "first")]
+    assert al.throttle(df.where("false"), ["s"]).collect() == []
 
 
 def test_every_rule_fires_on_its_own_data(spark):
@@ -142,3 +167,44 @@ def test_absent_labels_group_and_inhibit(spark):
     assert groups == {("A", "", "", 0): 2, ("A", "c", "", 0): 1, ("A", "", "", 50): 1, ("", "", "s", 0): 1, ("A", "", "", -5): 1}
     assert {r.series for r in al.inhibit(df).collect()} == {"x", "z", "u", "v", "t"}
     assert {r.series for r in al.inhibit(df, within_s=60).collect()} == {"x", "z", "v", "t"}
+
+
+def test_rates_of_a_busy_series_and_ragged_ranges(spark):
+    rnd = random.Random(9)
+    data = [("hot", i // 3 if i % 5 else i // 3 + 1, float(rnd.randint(0, 9))) for i in range(0, 900, 2)]
+    data = list({(g, s): (g, s, v) for g, s, v in data}.values()) + [("thin", s, 1.0 * s) for s in (7, 95, 200)]
+    rows = {}
+    for g, s, v in sorted(data):
+        rows.setdefault(g, []).append((s, v))
+    for range_s, step in ((50, 30), (45, 15), (7, 20)):
+        want, last = {}, {}
+        for g, part in rows.items():
+            for t in range(0, 600, step):
+                seen = [(s, v) for s, v in part if t - range_s < s <= t]
+                if seen:
+                    last[g, t] = seen[-1][1]
+                if len(seen) > 1:
+                    grown = sum(b[1] if b[1] < a[1] else b[1] - a[1] for a, b in zip(seen, seen[1:], strict=False))
+                    want[g, t] = round(grown / (seen[-1][0] - seen[0][0]), 6)
+        for chunk in (60, 86_400):
+            assert at(me.rate(samples(spark, data), range_s, step, chunk=chunk)) == want
+        assert at(me.instant(samples(spark, data), step, range_s)) == last
+
+
+def test_rules_match_labels_and_read_the_samples_once(spark):
+    rows = [("up", {"job": j}, 30, v) for j, v in (("a", 0.0), ("b", 1.0), ("ab", 0.0))] + [("up", {}, 30, 0.0)]
+    df = spark.createDataFrame(rows, "name string, labels map<string,string>, s int, value double")
+    df = df.select("name", "labels", F.timestamp_seconds("s").alias("ts"), "value")
+
+    def rule(name, match, value):
+        return al.AlertRule(name, "gauge", "up", None, "job", match, value, None, "==", 0, 0, "critical", "x")
+
+    rules = [rule("eq", "=", "a"), rule("ne", "!=", "a"), rule("re", "=~", "a|b"), rule("nr", "!~", "a.*"), rule("none", "=", "")]
+    out = al.evaluate_rules(df, rules, range_s=30, step_s=30).where("ts = timestamp_seconds(30)")
+    got = {(r.alert, r.series, r.state) for r in out.collect()}
+    job = lambda j: f'{{"job":"{j}"}}'
+    assert got == {
+        ("eq", job("a"), "firing"), ("ne", job("b"), "inactive"), ("ne", job("ab"), "firing"), ("ne", "{}", "firing"),
+        ("re", job("a"), "firing"), ("re", job("b"), "inactive"), ("nr", job("b"), "inactive"), ("nr", "{}", "firing"),
+        ("none", "{}", "firing"),
+    }
