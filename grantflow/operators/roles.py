@@ -190,31 +190,39 @@ def map_v1_to_v2(
     return spread_join(roles.select("role", "v1"), listed, ["v1"]).select("role", "permission").distinct()
 
 
-def default_assignments(principals: DataFrame, roles: DataFrame, explicit: DataFrame) -> DataFrame:
+def default_grants(roles: DataFrame) -> DataFrame:
+    """``(flag, role)``: one grant of a default role to all its holders, ``platform`` for everybody and ``admin`` for org
+    admins only. This closed form does not grow with the principals."""
+    flags = roles.groupBy("role").agg(
+        F.coalesce(F.bool_or("platform_default"), F.lit(False)).alias("all"),
+        F.coalesce(F.bool_or("admin_default"), F.lit(False)).alias("admins"),
+    )
+    flag = F.when(F.col("all"), "platform").when(F.col("admins"), "admin")
+    return flags.select(flag.alias("flag"), "role").where("flag is not null")
+
+
+def default_assignments(
+    principals: DataFrame, roles: DataFrame, explicit: DataFrame, asked: DataFrame | None = None
+) -> DataFrame:
     """``(username, role)``: explicit ones, platform defaults for everybody, admin defaults for org admins.
 
-    Principals are matched with flagged roles by the flag name, so no product of all roles is built.
+    The grants of :func:`default_grants` are opened for the principals, or only for the ``asked`` usernames. Rows are
+    made distinct in the inputs and explicit roles held by default are left out, so the result is not shuffled again.
     """
-    flags = principals.select(
-        "username",
-        F.explode(
-            F.when(F.col("is_org_admin"), F.array(F.lit("platform"), F.lit("admin"))).otherwise(
-                F.array(F.lit("platform"))
-            )
-        ).alias("flag"),
-    )
-    flagged = roles.select(
-        "role",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(F.col("platform_default"), F.lit("platform")), F.when(F.col("admin_default"), F.lit("admin"))
-                )
-            )
-        ).alias("flag"),
-    )
-    given = spread_join(flags, flagged, ["flag"]).select("username", "role")
-    return given.unionByName(explicit.select("username", "role")).distinct()
+    people = principals.groupBy("username").agg(F.coalesce(F.bool_or("is_org_admin"), F.lit(False)).alias("admin"))
+    explicit = explicit.select("username", "role").distinct()
+    if asked is not None:
+        names = asked.select("username").distinct()
+        people, explicit = (df.join(names, "username", "left_semi") for df in (people, explicit))
+    grants = default_grants(roles)
+    held = F.when(F.col("admin"), F.array(F.lit("platform"), F.lit("admin"))).otherwise(F.array(F.lit("platform")))
+    given = spread_join(people.select("username", F.explode(held).alias("flag")), grants, ["flag"])
+    by_default = spread_join(explicit, grants, ["role"])
+    known = by_default.alias("e").join(people.alias("p"), F.col("e.username").eqNullSafe(F.col("p.username")))
+    known = known.where("e.flag = 'platform' or p.admin").select(
+        F.col("e.username").alias("_u"), F.col("e.role").alias("_r"))
+    more = explicit.join(known, explicit.username.eqNullSafe(F.col("_u")) & (explicit.role == F.col("_r")), "left_anti")
+    return given.select("username", "role").unionByName(more)
 
 
 def close_requires(verbs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import alerts as al
 from ..operators import metrics as me
 from ..session import cut, cut_table, shared_folder
 from ..sources import metrics as src
-from ..streaming.jobs import condition_stream, condition_table
+from ..streaming.jobs import STATES, alert_stream, condition_stream, condition_table
 from .alert_rules import CONSUMER_RULES, SERVICE_RULES
 from .catalog import query
 from .derived import COUNTER_SQL, RESET_SQL, counter_samples, events, gauge_samples, reset_samples
@@ -239,6 +239,27 @@ def t11b(spark, sf):
     return s.select("series", at_us("ts"), F.unix_micros("since").alias("since"), "state")
 
 
+@query("t11_alert_states_timers", f"WITH {STATE_SQL} {STATE_OUT}")
+def t11c(spark, sf):
+    """The same with state and timers: files follow each other in time but for a day's disorder, and a row without a
+    value at the end lets the watermark pass all of them."""
+    day = 86_400_000_000
+    late = F.unix_micros("ts") + F.pmod(F.xxhash64("series", "ts"), F.lit(day))
+    rows = cut(conditions(spark, sf).withColumn("arrives", late))
+    lo, hi = rows.agg(F.min("arrives"), F.max("arrives")).first()
+    path = f"{shared_folder(spark)}/timers-{uuid.uuid4().hex}"
+    for i in range(4):
+        quarter = F.floor((F.col("arrives") - F.lit(lo or 0)) * 4 / F.lit((hi or 0) - (lo or 0) + 1)) == i
+        rows.where(quarter).drop("arrives").write.mode("append").parquet(f"{path}/in")
+    end = F.timestamp_micros(F.lit((hi or 0) + 10 * day))
+    spark.range(1).select(F.lit("").alias("series"), end.alias("ts"), F.lit(None).cast("boolean").alias("active")).coalesce(1).write.mode(
+        "append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.drop("arrives").schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/in")
+    alert_stream(stream, f"{path}/out", f"{path}/state", 86_400, step_s=172_800, delay="2 days").awaitTermination()
+    s = spark.read.schema(STATES).parquet(f"{path}/out/batch=*")
+    return s.select("series", at_us("ts"), F.unix_micros("since").alias("since"), "state")
+
+
 def named(df, name, factor=1.0, **labels):
     """Samples under another name, with the given labels."""
     pairs = [x for k, v in labels.items() for x in (F.lit(k), v if not isinstance(v, str) else F.lit(v))]
@@ -359,10 +380,10 @@ def t13(spark, sf):
     return g.select("alertname", "cluster", "service", at_us("ts"), "alerts", "page", "pages", F.concat_ws(",", "members").alias("members"))
 
 
-def group_content(spark, sf):
+def group_content(spark, sf, group=None):
     """State of each alert group over time: firing while the last event is an error or a view."""
     return events(spark, sf).select(
-        F.concat(F.lit("grp"), F.col("user_id") % 10).alias("grp"), "ts",
+        (F.concat(F.lit("grp"), F.col("user_id") % 10) if group is None else group).alias("grp"), "ts",
         F.when(F.col("event_type").isin("error", "view", "click", "purchase"), "firing").otherwise("resolved").alias("content"),
     )
 
@@ -387,6 +408,30 @@ def t14(spark, sf):
     return sent.select("grp", F.unix_micros("sent_at").alias("sent_at"), "content", "reason")
 
 
+@query(
+    "t14_group_wait",
+    """WITH RECURSIVE seen AS (SELECT 'g'||user_id AS grp, ts, epoch_us(ts) // 600000000 AS tick,
+      CASE event_type WHEN 'signup' THEN 'resolved' ELSE 'firing' END AS content FROM events),
+    raw AS (SELECT grp, greatest(tick, min(tick) OVER (PARTITION BY grp) + 6) AS tick, ts, content FROM seen),
+    one AS (SELECT grp, tick, arg_max(content, ts) AS content FROM raw GROUP BY ALL),
+    chg AS (SELECT *, content IS DISTINCT FROM lag(content) OVER w AS c, row_number() OVER w AS rn FROM one
+      WINDOW w AS (PARTITION BY grp ORDER BY tick)),
+    runs AS (SELECT *, sum(CAST(c AS INTEGER)) OVER (PARTITION BY grp ORDER BY tick) AS run FROM chg),
+    sent AS (
+      SELECT grp, tick, run, content, CASE rn WHEN 1 THEN 'first' ELSE 'changed' END AS reason FROM runs WHERE c
+      UNION ALL
+      SELECT grp, tick, run, content, 'repeat' FROM (
+        SELECT s.grp, s.run, min(r.tick) AS tick, any_value(r.content) AS content FROM sent s JOIN runs r
+        ON r.grp = s.grp AND r.run = s.run AND r.tick >= s.tick + 72 GROUP BY s.grp, s.run, s.tick))
+    SELECT grp, tick * 600000000 AS sent_at, content, reason FROM sent""",
+)
+def t14b(spark, sf):
+    """A group per user, first told an hour after it is seen, repeated after twelve hours."""
+    groups = group_content(spark, sf, F.concat(F.lit("g"), F.col("user_id")))
+    sent = al.throttle(groups, ["grp"], interval_s=600, group_wait_s=HOUR)
+    return sent.select("grp", F.unix_micros("sent_at").alias("sent_at"), "content", "reason")
+
+
 @query(
     "t15_inhibit",
     f"""WITH {ALERT_SQL} SELECT event_id, severity FROM al a WHERE severity <> 'warning' OR NOT EXISTS (SELECT 1 FROM al c

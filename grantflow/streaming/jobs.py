@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..model import TUPLE_COLS
 from ..operators.relate import dispatch, latest_state, workspace_tuples
@@ -224,11 +226,101 @@ CONDITION = T.StructType(
 
 
 def condition_table(spark: SparkSession, path: str) -> ChangeTable:
-    """Conditions by series and time; a repeated one counts once."""
-    return ChangeTable(spark, path, CONDITION, ["series", "ts"], "ts")
+    """Conditions by series and time; a repeated one counts once, and of two values at one time the active one."""
+    return ChangeTable(spark, path, CONDITION, ["series", "ts"], "active")
 
 
 def condition_stream(conditions: DataFrame, table: ChangeTable, checkpoint: str):
     """Start keeping ``(series, ts, active)`` rows in any order of arrival. ``alert_states`` over the table gives the
     states; what is older than the longest holding time may be dropped from it."""
     return _run(conditions, lambda batch, batch_id: table.put(batch, batch_id), checkpoint)
+
+
+STATES = T.StructType(
+    [*CONDITION.fields, T.StructField("since", T.TimestampType()), T.StructField("state", T.StringType())]
+)
+
+
+class AlertTimers(StatefulProcessor):
+    """States of one series from conditions in any order within the watermark.
+
+    Conditions wait in a list until the watermark has passed them, which a timer at the earliest one tells. They are
+    then put in order and settled against the last settled one (``us, active, since``). With a step, that is forgotten
+    once the watermark is so far behind it that the next condition would start a new run anyway.
+    """
+
+    def __init__(self, for_us: int, step_us: int | None):
+        self.for_us, self.step_us = for_us, step_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us bigint, active boolean")
+        self.last = handle.getValueState("last", "us bigint, active boolean, since bigint")
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(-(-us // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        pdf = pdf[pdf["active"].notna()]
+        if len(pdf):
+            us = [int(u) for u in pdf["us"]]
+            self.waiting.appendList([(u, bool(a)) for u, a in zip(us, pdf["active"])])
+            self._wake(min(us))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        ready: dict[int, bool] = {}
+        for us, active in waiting:
+            if us <= passed:
+                ready[us] = ready.get(us, False) or active
+        rest = [(us, active) for us, active in waiting if us > passed]
+        last = self.last.get() if self.last.exists() else None
+        out = []
+        for us, active in sorted(ready.items()):
+            unbroken = last is not None and last[1] and (self.step_us is None or us - last[0] <= self.step_us)
+            since = (last[2] if unbroken else us) if active else None
+            state = "inactive" if not active else "firing" if us - since >= self.for_us else "pending"
+            out.append((key[0], us, active, since, state))
+            last = (us, active, since)
+        if ready and rest:
+            self.waiting.put(rest)
+        elif ready:
+            self.waiting.clear()
+        if rest:
+            self._wake(min(us for us, _ in rest))
+        if self.step_us is not None and last is not None and not rest and last[0] + self.step_us < passed:
+            self.last.clear()
+        elif ready:
+            self.last.update(last)
+            if self.step_us is not None:
+                self._wake(last[0] + self.step_us + 1000)
+        if out:
+            done = pd.DataFrame(out, columns=["series", "us", "active", "since", "state"])
+            done["ts"] = pd.to_datetime(done.pop("us"), unit="us")
+            done["since"] = pd.to_datetime(done["since"].astype("Int64"), unit="us")
+            yield done[["series", "ts", "active", "since", "state"]]
+
+
+def alert_stream(
+    conditions: DataFrame, path: str, checkpoint: str, for_seconds: int, *, step_s: int | None = None, delay: str = "10 minutes"
+):
+    """Start writing the states of a stream of ``(series, ts, active)`` to folders ``batch=<id>`` under ``path``.
+
+    A state is final: it is written when the watermark, ``delay`` behind the newest time, has passed it. Conditions
+    later than that, and all up to the start of 1970, where Spark's watermark starts, are dropped by the watermark; ``condition_stream`` keeps any order at the cost of a growing table.
+    Of two values at one time the active one counts. Rows without a value only move the watermark. State is what the
+    watermark has not passed and, per series, one row until ``step_s`` after its last condition. Needs the RocksDB
+    state store (``spark.sql.streaming.stateStore.providerClass``), which is set for the session.
+    """
+    conditions.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    rows = conditions.withWatermark("ts", delay).select("series", "ts", "active", F.unix_micros("ts").alias("us"))
+    states = rows.groupBy("series").transformWithStateInPandas(
+        AlertTimers(for_seconds * 1_000_000, None if step_s is None else step_s * 1_000_000), STATES, "Append", "EventTime"
+    )
+    return _run(states, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint)

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantflow.operators import alerts as al
+from grantflow.operators import roles as ro
 from grantflow.plans.alert_rules import SERVICE_RULES
 from grantflow.session import literal_table
+from grantflow.streaming.jobs import STATES, alert_stream, condition_table
 from grantflow.operators import metrics as me
 
 SAMPLE = "name string, series string, s int, value double"
@@ -208,3 +210,52 @@ def test_rules_match_labels_and_read_the_samples_once(spark):
         ("re", job("a"), "firing"), ("re", job("b"), "inactive"), ("nr", job("b"), "inactive"), ("nr", "{}", "firing"),
         ("none", "{}", "firing"),
     }
+
+
+def test_alert_stream_equals_the_batch_and_empties_its_state(spark, tmp_path):
+    """Conditions shuffled within the delay, twice with other values at the same time, and a series that ends early."""
+    rnd = random.Random(4)
+    rows = [(g, 30 * i, rnd.random() < 0.8) for g in ("a", "b") for i in range(80) if rnd.random() < 0.9]
+    rows += [("short", 30 * i, True) for i in range(5)] + [("a", 30 * i, False) for i in (3, 9)]
+    rows.sort(key=lambda r: r[1] + rnd.randint(0, 100))
+    schema = "series string, s int, active boolean"
+
+    def frame(part):
+        return spark.createDataFrame(part, schema).select("series", F.timestamp_seconds(F.col("s") + 86_400).alias("ts"), "active")
+
+    for part in (rows[:60], rows[60:110], rows[110:], [("", 30 * 80 + 1000, None)], [("", 30 * 80 + 2000, None)]):
+        frame(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("series string, ts timestamp, active boolean").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    query = alert_stream(stream, f"{tmp_path}/out", f"{tmp_path}/state", 60, step_s=30, delay="150 seconds")
+    query.awaitTermination()
+    got = spark.read.schema(STATES).parquet(f"{tmp_path}/out/batch=*").select("series", "ts", "active", "since", "state")
+    once = frame(rows).groupBy("series", "ts").agg(F.bool_or("active").alias("active"))
+    want = al.alert_states(once, 60, step_s=30).select("series", "ts", "active", "since", "state")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    for name in ("waiting", "last"):
+        state = spark.read.format("statestore").option("stateVarName", name).load(f"{tmp_path}/state")
+        assert state.where("key.series <> ''").count() == 0
+
+
+def test_condition_table_has_a_winner(spark, tmp_path):
+    table = condition_table(spark, str(tmp_path))
+    rows = [("s", 0, False), ("s", 0, True), ("s", 5, False)]
+    df = spark.createDataFrame(rows, "series string, s int, active boolean").withColumn("ts", F.timestamp_seconds("s"))
+    table.put(df.where("active"), 0)
+    table.put(df.where("not active"), 1)
+    assert sorted((r.s, r.active) for r in table.read().withColumn("s", F.unix_timestamp("ts")).collect()) == [(0, True), (5, False)]
+
+
+def test_default_grants_and_asked_users(spark):
+    people = [("u", False), ("u", False), ("adm", True), ("x", None)]
+    principals = spark.createDataFrame(people, "username string, is_org_admin boolean")
+    flags = [("viewer", True, False), ("viewer", True, True), ("owner", False, True), ("plain", None, False)]
+    roles = spark.createDataFrame(flags, "role string, platform_default boolean, admin_default boolean")
+    explicit = spark.createDataFrame([("u", "viewer"), ("u", "owner"), ("adm", "owner"), ("gone", "viewer"), ("u", "plain")], "username string, role string")
+    want = {("u", "viewer"), ("u", "owner"), ("u", "plain"), ("adm", "viewer"), ("adm", "owner"), ("x", "viewer"), ("gone", "viewer")}
+    assert {tuple(r) for r in ro.default_grants(roles).collect()} == {("platform", "viewer"), ("admin", "owner")}
+    got = [tuple(r) for r in ro.default_assignments(principals, roles, explicit).collect()]
+    assert len(got) == len(want) and set(got) == want
+    asked = spark.createDataFrame([("u",), ("gone",), ("nobody",)], "username string")
+    got = [tuple(r) for r in ro.default_assignments(principals, roles, explicit, asked).collect()]
+    assert sorted(got) == sorted(w for w in want if w[0] in ("u", "gone"))
