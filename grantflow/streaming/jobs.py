@@ -310,7 +310,8 @@ def alert_stream(
     """Start writing the states of a stream of ``(series, ts, active)`` to folders ``batch=<id>`` under ``path``.
 
     A state is final: it is written when the watermark, ``delay`` behind the newest time, has passed it. Conditions
-    later than that, and all up to the start of 1970, where Spark's watermark starts, are dropped by the watermark; ``condition_stream`` keeps any order at the cost of a growing table.
+    later than that, and all up to the start of 1970, where Spark's watermark starts, are dropped by the watermark;
+    ``condition_stream`` keeps any order at the cost of a growing table.
     Of two values at one time the active one counts. Rows without a value only move the watermark. State is what the
     watermark has not passed and, per series, one row until ``step_s`` after its last condition. Needs the RocksDB
     state store (``spark.sql.streaming.stateStore.providerClass``), which is set for the session.
