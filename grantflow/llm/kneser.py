@@ -101,10 +101,12 @@ def runs_of(ids: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 def context_key(columns: list[np.ndarray]) -> np.ndarray:
-    """One or two words as they are, more as a hash."""
+    """One word as it is, two words with the last one first, more as a hash."""
+    if len(columns) == 2:
+        return columns[1].astype(np.uint64) << np.uint64(32) | columns[0]
     key = columns[0].astype(np.uint64)
-    for i, c in enumerate(columns[1:]):
-        key = (mix64(key) * np.uint64(0x9E3779B97F4A7C15) if i else key << np.uint64(32)) + c
+    for c in columns[1:]:
+        key = mix64(key) * np.uint64(0x9E3779B97F4A7C15) + c
     return key
 
 
@@ -116,16 +118,20 @@ def among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """An order of the runs by context and word, and where a new run begins in it."""
     if len(columns) < 3:
-        key = context_key(columns)
-        order = np.argsort(key, kind="stable")
+        key = context_key(columns[::-1])
+        order = np.argsort(key)
         key = key[order]
-        new = key[1:] != key[:-1]
     else:
-        key, word = context_key(columns[:-1]), columns[-1]
-        order = np.lexsort((word, key))
-        key, word = key[order], word[order]
-        new = (key[1:] != key[:-1]) | (word[1:] != word[:-1])
-    return order, np.flatnonzero(np.append(True, new)) if len(order) else np.zeros(0, np.int64)
+        # Two plain sorts are faster than one by two keys: contexts are numbered before the second.
+        key = context_key(columns[:-1])
+        order = np.argsort(key)
+        key = key[order]
+        number = np.zeros(len(key), np.uint64)
+        np.cumsum(key[1:] != key[:-1], out=number[1:])
+        key = number << np.uint64(32) | columns[-1][order]
+        again = np.argsort(key)
+        order, key = order[again], key[again]
+    return order, np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(order) else np.zeros(0, np.int64)
 
 
 def counted_runs(columns: list[np.ndarray], times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -179,17 +185,22 @@ def packed_counts(keys: np.ndarray, n: np.ndarray, shard: np.ndarray) -> pa.Reco
 PACKED = "shard int, keys binary, n binary"
 
 
+def stepped(width: int) -> int:
+    """Number of columns of which steps are kept."""
+    return max(width - 1, 1)
+
+
 def packed_runs(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
     """One row per shard with its runs, column after column, and their counts; runs come sorted.
 
-    Of the first column, which rises, the steps are kept.
+    Of the words of the context, which rise or nearly do, the steps are kept.
     """
     order = np.argsort(shard.astype(np.int32), kind="stable")
     shards, first = np.unique(shard[order], return_index=True)
     pieces = [order[a:b] for a, b in zip(first, [*first[1:], len(order)])]
 
     def keys(p: np.ndarray) -> bytes:
-        return squeezed(b"".join([planes(np.diff(columns[0][p], prepend=np.uint32(0))), *(planes(c[p]) for c in columns[1:])]))
+        return squeezed(b"".join(planes(np.diff(c[p], prepend=np.uint32(0)) if i < stepped(len(columns)) else c[p]) for i, c in enumerate(columns)))
 
     return pa.RecordBatch.from_arrays([
         pa.array(shards.astype(np.int32)), pa.array([keys(p) for p in pieces], pa.binary()),
@@ -200,8 +211,8 @@ def packed_runs(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) ->
 def unpacked_runs(raw: bytes, width: int) -> list[np.ndarray]:
     raw = unsqueezed(raw)
     size = len(raw) // width
-    steps, *rest = (unplanes(raw[i * size : (i + 1) * size], np.uint32) for i in range(width))
-    return [np.cumsum(steps, dtype=np.uint32), *rest]
+    columns = [unplanes(raw[i * size : (i + 1) * size], np.uint32) for i in range(width)]
+    return [np.cumsum(c, dtype=np.uint32) if i < stepped(width) else c for i, c in enumerate(columns)]
 
 
 def shards_of(batches: Iterator[pa.RecordBatch], width: int = 0) -> Iterator[tuple]:
@@ -264,6 +275,54 @@ def local_path(folder: str) -> str:
     return "/" + rest.lstrip("/")
 
 
+#: Contexts per stored bound, as a power of two, where their runs are few enough.
+BLOCK = 8
+
+
+def packed_bounds(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rising numbers as one for each block and small steps from it: the block's power of two, blocks, steps.
+
+    Blocks are as small as it takes for the steps to fit into two bytes.
+    """
+    for power in range(BLOCK, -1, -1):
+        first = bounds[:: 1 << power]
+        steps = bounds - np.repeat(first, 1 << power)[: len(bounds)]
+        if steps.max() < 1 << 16:
+            return np.array([power]), first.astype(np.uint32), steps.astype(np.uint16)
+    raise ValueError("numbers do not rise")
+
+
+def split_contexts(context: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct contexts of runs of ``width`` words as last words, where the contexts of each begin, and the rest.
+
+    Single words and hashes have no last word; they are all under zero.
+    """
+    if width != 3:
+        return np.zeros(1, np.uint32), np.array([0, len(context)], np.uint32), context.astype(rest_type(width))
+    last = (context >> np.uint64(32)).astype(np.uint32)
+    head = np.flatnonzero(np.append(True, last[1:] != last[:-1])) if len(last) else np.zeros(0, np.int64)
+    return last[head], np.append(head, len(last)).astype(np.uint32), context.astype(np.uint32)
+
+
+def rest_type(width: int):
+    return np.uint64 if width > 3 else np.uint32
+
+
+def place_of(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the ``asked`` are in their sorted slice ``low`` to ``high`` of ``values``, and where."""
+    at, end, open_ = low.copy(), high.copy(), np.flatnonzero(low < high)
+    while len(open_):
+        a, b = at[open_], end[open_]
+        middle = (a + b) >> 1
+        below = values[middle] < asked[open_]
+        a, b = np.where(below, middle + 1, a), np.where(below, b, middle)
+        at[open_], end[open_] = a, b
+        open_ = open_[a < b]
+    hit = np.flatnonzero(at < high)
+    hit = hit[values[at[hit]] == asked[hit]]
+    return hit, at[hit]
+
+
 def count_of_counts(n: np.ndarray) -> list[int]:
     return [int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)]
 
@@ -393,8 +452,8 @@ def _store_runs(folder: str, bits: int, width: int, hot: list[np.ndarray], first
             bounds = np.append(head, len(n))
             total = sums(np.stack([n, n == 1, n == 2, n > 2], 1).astype(np.int64), bounds)
             large, many = np.flatnonzero(n > 255), np.flatnonzero(np.diff(bounds) > SUMMED)
-            write_arrays(f"{folder}/runs-{width}-{shard}", context[head], bounds.astype(np.uint32), many.astype(np.int64), total[many].ravel(),
-                         second, np.minimum(n, 255).astype(np.uint8), large, n[large])
+            write_arrays(f"{folder}/runs-{width}-{shard}", *split_contexts(context[head], width), *packed_bounds(bounds), many.astype(np.int64),
+                         total[many].ravel(), second, np.minimum(n, 255).astype(np.uint8), large, n[large])
             alone = shard >= 1 << bits
             write_arrays(f"{folder}/totals-{width}-{shard}", np.array([*count_of_counts(n), len(n)], np.int64),
                          context[head] if alone else context[:0], total.ravel() if alone else total[:0].ravel())
@@ -552,14 +611,18 @@ class Reader(Words):
         order = np.argsort(shard, kind="stable")
         for s, part in self.runs(shard[order]):
             row = order[part]
-            context, bounds, many, level, words, small, large, count = self.arrays(
-                f"runs-{width}", s, np.uint64, np.uint32, np.int64, np.int64, np.uint32, np.uint8, np.int64, np.int64)
-            if not len(context):
+            last, begins, rest, power, blocks, steps, many, level, words, small, large, count = self.arrays(
+                f"runs-{width}", s, np.uint32, np.uint32, rest_type(width), np.int64, np.uint32, np.uint16,
+                np.int64, np.int64, np.uint32, np.uint8, np.int64, np.int64)
+            if not len(rest):
                 continue
-            at = np.minimum(np.searchsorted(context, contexts[row]), len(context) - 1)
-            known = np.flatnonzero(context[at] == contexts[row])
+            asked = contexts[row] >> np.uint64(32) if width == 3 else np.zeros(len(row), np.uint64)
+            at = np.minimum(np.searchsorted(last, asked.astype(np.uint32)), len(last) - 1)
+            known = np.flatnonzero(last[at] == asked)
             row, at = row[known], at[known]
-            second, low, high = columns[-1][row], bounds[at].astype(np.int64), bounds[at + 1].astype(np.int64)
+            hit, at = place_of(rest, begins[at].astype(np.int64), begins[at + 1].astype(np.int64), contexts[row].astype(rest.dtype))
+            row, second = row[hit], columns[-1][row[hit]]
+            low, high = (blocks[i >> power[0]].astype(np.int64) + steps[i] for i in (at, at + 1))
             if s < 1 << self.meta.bits:
                 place = np.searchsorted(many, at)
                 stored = high - low > SUMMED
@@ -568,14 +631,8 @@ class Reader(Words):
                 all_ = self.at(small, large, count, ranges(low[few], (high - low)[few]))
                 ends = np.append(0, np.cumsum((high - low)[few]))
                 total[row[few]] = sums(np.stack([all_, all_ == 1, all_ == 2, all_ > 2], 1).astype(np.int64), ends)
-            end = high.copy()
-            while (low < high).any():
-                middle = (low + high) >> 1
-                below = (words[np.minimum(middle, len(words) - 1)] < second) & (low < high)
-                low, high = np.where(below, middle + 1, low), np.where(below, high, np.minimum(middle, high))
-            hit = np.flatnonzero(low < end)
-            hit = hit[words[low[hit]] == second[hit]]
-            n[row[hit]] = self.at(small, large, count, low[hit])
+            hit, at = place_of(words, low, high, second)
+            n[row[hit]] = self.at(small, large, count, at)
         keys, hot_sums = self.meta.hot_sums[width - 1]
         split = np.flatnonzero(shard >= 1 << self.meta.bits)
         split = split[among(contexts[split], keys)]

@@ -534,10 +534,20 @@ def test_model_of_longer_runs(odd, monkeypatch, order):
 def test_query_uses_contexts_of_two_words(spark, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     model = AnyOrder([t for i, t in texts.items() if learned(i)], 3)
-    got = QUERIES["op10_lm_scoring"](spark, SMALL).limit(20).collect()
+    got = QUERIES["op10_lm_scoring"](spark, SMALL).collect()
+    assert len(got) == len(texts)
     assert [r.score for r in got] == pytest.approx([model.score(texts[r.doc_id]) for r in got], rel=1e-6)
 
 
+@pytest.mark.parametrize("most", [3, 300, 70_000, 1 << 20])
+def test_bounds_in_blocks(most):
+    steps = np.random.default_rng(most).integers(1, 5, 2000)
+    steps[[0, 700, 1999]] = most
+    bounds = np.append(0, np.cumsum(steps))
+    power, blocks, small = kneser.packed_bounds(bounds)
+    assert (blocks[np.arange(len(bounds)) >> power[0]].astype(np.int64) + small == bounds).all()
+
+
 def test_words_with_equal_half_hashes_stay_apart(tmp_path):
     words = np.array([1 << 40 | 1, 1 << 40 | 2], np.uint64)
     kneser.write_arrays(f"{tmp_path}/words-0", words, np.array([3, 4]))
