@@ -3,6 +3,7 @@
 Every function takes ``chunk``: a column that grows with the order (a time bucket, a sequence number divided by
 a block size). Rows are windowed inside ``(keys, chunk)``; what crosses a chunk border is carried by a table
 with one row per ``(keys, chunk)``. A key with a third of all rows is therefore split over its chunks.
+:func:`sized_chunks` makes chunks of time that are bounded by rows.
 """
 
 from __future__ import annotations
@@ -11,6 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut_table
+from .skew import ROWS_PER_TASK, bounded_broadcast, estimated_bytes
+
+#: Into how many slices a chunk with too many rows is cut at once.
+SLICES = 16
+
 
 def block_chunk(seq: Column, size: int) -> Column:
     """Start of the block of ``size`` values that ``seq`` falls into; integers only."""
@@ -21,6 +28,34 @@ def time_chunk(ts: Column, seconds: int) -> Column:
     return block_chunk(F.unix_micros(ts), seconds * 1_000_000)
 
 
+def sized_chunks(df: DataFrame, keys: list[str], ts: str, seconds: int, *, name: str = "_slice", rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Add ``name``: the start, in microseconds, of the slice of time a row falls into, for use as ``chunk``.
+
+    Slices are ``seconds`` wide. One with more than ``rows`` rows of a key is cut into sixteen, again and again, so a
+    slice has more rows than that only where they share one microsecond. Of the keys and slices that are cut there are
+    at most as many as ``rows`` goes into the number of all rows; nothing is counted where the optimizer's estimate
+    of bytes shows that there can be none.
+    """
+    width = seconds * 1_000_000
+    at = F.unix_micros(ts)
+    df = df.withColumn(name, time_chunk(F.col(ts), seconds))
+    if estimated_bytes(df) <= rows:
+        return df
+
+    def large(part: DataFrame):
+        return cut_table(part.groupBy(*keys, name).count().where(F.col("count") > rows).select(*keys, name))
+
+    full = large(df)
+    while full.rows and width > 1:
+        width = -(-width // SLICES)
+        marked = df.join(bounded_broadcast(full.df.withColumn("_full", F.lit(True)), full.rows), [*keys, name], "left")
+        within = at - F.col(name)
+        df = marked.withColumn(name, F.when(F.col("_full"), F.col(name) + within - F.pmod(within, F.lit(width))).otherwise(F.col(name)))
+        full = large(df.where("_full"))
+        df = df.drop("_full")
+    return df
+
+
 def _neighbour(df, keys, order, cols, chunk, *, back: bool, prefix: str) -> DataFrame:
     df = df.withColumn("_chunk", chunk)
     ordering = [F.col(c).asc() if back else F.col(c).desc() for c in order]

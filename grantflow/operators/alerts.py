@@ -12,36 +12,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.ordered import block_chunk, group_key, time_chunk, with_previous, with_running
+from ..functions.ordered import block_chunk, group_key, sized_chunks, with_previous, with_running
 from ..functions.paging import paged_lists
-from ..functions.skew import spread_join
+from ..functions.skew import ROWS_PER_TASK, spread_join
 from ..session import cut, literal_table
 from . import metrics as me
 
 
 def alert_states(
-    df: DataFrame, for_seconds: int | Column, *, keys: list[str] | None = None, step_s: int | None = None, chunk: int = 86_400
+    df: DataFrame, for_seconds: int | Column, *, keys: list[str] | None = None, step_s: int | None = None, chunk: int = 86_400,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """States of conditions ``(series, ts, active)``: inactive, pending, firing after ``for_seconds``, and ``since``.
 
     With ``step_s``, the distance of evaluations, a series that was missing for longer starts a new run. The start
-    of the current run is carried over time chunks, so a long series is many tasks.
+    of the current run is carried over chunks of ``chunk`` seconds or less, of at most ``rows_per_task`` rows, so a
+    long or a dense series is many tasks.
     """
     keys = keys or ["series"]
-    rows = with_previous(df, keys, ["ts"], ["active", "ts"], time_chunk(F.col("ts"), chunk))
+    rows = sized_chunks(df, keys, "ts", chunk, rows=rows_per_task)
+    rows = with_previous(rows, keys, ["ts"], ["active", "ts"], F.col("_slice"))
     unbroken = F.coalesce("prev_active", F.lit(False))
     if step_s is not None:
         unbroken &= F.unix_micros("ts") - F.unix_micros("prev_ts") <= F.lit(step_s * 1_000_000)
     begins = F.col("active") & ~unbroken
     rows = with_running(
-        rows, keys, ["ts"], {"since": ("max", F.when(begins, F.col("ts")))}, time_chunk(F.col("ts"), chunk)
+        rows, keys, ["ts"], {"since": ("max", F.when(begins, F.col("ts")))}, F.col("_slice")
     )
     hold = (for_seconds if isinstance(for_seconds, Column) else F.lit(for_seconds)).cast("long")
     held = F.unix_micros("ts") - F.unix_micros("since") >= hold * F.lit(1_000_000)
     return (
         rows.withColumn("state", F.when(~F.col("active"), "inactive").when(held, "firing").otherwise("pending"))
         .withColumn("since", F.when(F.col("active"), F.col("since")))
-        .drop("prev_active", "prev_ts")
+        .drop("prev_active", "prev_ts", "_slice")
     )
 
 

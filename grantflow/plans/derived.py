@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordered import time_chunk, with_running
+from ..functions.ordered import sized_chunks, with_running
 from ..model import TUPLE_COLS
 from ..session import literal_table
 
@@ -275,8 +275,8 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A counter per event type: running number of events, label ``code`` OK unless it is an error."""
     ev = events(spark, sf_dir)
     counted = with_running(
-        ev.select("event_type", "ts", "event_id"), ["event_type"], ["ts", "event_id"],
-        {"value": ("sum", F.lit(1.0))}, time_chunk(F.col("ts"), DAY),
+        sized_chunks(ev.select("event_type", "ts", "event_id"), ["event_type"], "ts", DAY), ["event_type"], ["ts", "event_id"],
+        {"value": ("sum", F.lit(1.0))}, F.col("_slice"),
     )
     return counted.select(
         F.lit("requests_total").alias("name"),

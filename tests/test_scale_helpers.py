@@ -98,6 +98,35 @@ def test_pages_in_order_are_the_whole_sorted_list(spark):
     assert sorted(got, key=str) == sorted(map(tuple, want), key=str)
 
 
+def dense(spark):
+    """A series with half of all rows, most of them in one minute, and some at one moment, beside twenty thin ones."""
+    hot = spark.range(2000).select(
+        F.lit("hot").alias("series"),
+        (F.when(F.col("id") < 1500, F.col("id") * 40_000).when(F.col("id") < 1510, 70_000_000).otherwise(F.col("id") * 50_000_000) + 1_700_000_000_000_000).alias("us"), "id")
+    thin = spark.range(2000).select(F.concat(F.lit("s"), F.col("id") % 20).alias("series"), (F.col("id") * 97_000_000 + 1_700_000_000_000_000).alias("us"), "id")
+    return hot.unionByName(thin).withColumn("ts", F.timestamp_micros("us"))
+
+
+def test_time_chunks_are_bounded_by_rows(spark):
+    df = dense(spark)
+    got = od.sized_chunks(df, ["series"], "ts", 86_400, rows=50)
+    sizes = {(r.series, r["_slice"]): r["count"] for r in got.groupBy("series", "_slice").count().collect()}
+    assert sum(sizes.values()) == 4000 and max(sizes.values()) <= 50
+    slices = got.groupBy("series", "_slice").agg(F.min("us").alias("a"), F.max("us").alias("b")).orderBy("series", "_slice").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(slices, slices[1:]) if x.series == y.series)
+    tied = od.sized_chunks(df, ["series"], "ts", 86_400, rows=5).groupBy("series", "_slice").agg(
+        F.count("*").alias("n"), F.countDistinct("us").alias("moments")).where("n > 5").collect()
+    assert [(r.series, r.n, r.moments) for r in tied] == [("hot", 10, 1)]
+
+
+def test_states_of_a_dense_series(spark):
+    from grantflow.operators.alerts import alert_states
+
+    df = dense(spark).dropDuplicates(["series", "ts"]).withColumn("active", F.xxhash64("series", "us") % 7 != 0).drop("us", "id")
+    plain, cut_up = (sorted(map(tuple, alert_states(df, 3, step_s=100, rows_per_task=n).select("series", "ts", "since", "state").collect()), key=str) for n in (10**9, 20))
+    assert plain == cut_up and {r[3] for r in plain} == {"inactive", "pending", "firing"}
+
+
 def test_group_alerts_has_its_pages(spark):
     from grantflow.operators.alerts import group_alerts
 
