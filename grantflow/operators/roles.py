@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sets import SET, by_set, hand_out
 from ..functions.skew import spread_join
 from ..model import Rule, rules_list
 from ..session import cut, literal_table
 from .closure import closure, node_id, node_type, tuple_edges
-from .evaluate import arrow_permission, intersect_permission, open_usersets
+from .evaluate import arrow_permission, intersect_grants, open_usersets
 
 SUBJECT = ["sub_type", "sub_id", "sub_rel"]
 SCOPE_RELATIONS = ["t_parent", "t_platform"]
@@ -144,16 +145,24 @@ def resource_grants(tuples: DataFrame, scopes: DataFrame, res_type: str, relatio
 
 def contingent(grants: DataFrame, first: str, second: str, out: str, members: DataFrame) -> DataFrame:
     """``out`` = ``first`` and ``second`` for the same principal, both taken after inheritance."""
-    opened = open_usersets(grants.where(F.col("permission").isin(first, second)), members)
     keys = ["type", "id"]
-    both = intersect_permission(
-        opened.where(F.col("permission") == first), opened.where(F.col("permission") == second), keys
-    )
+    both = intersect_grants(grants.where(F.col("permission") == first), grants.where(F.col("permission") == second), keys, members)
     return both.select(*keys, F.lit(out).alias("permission"), "sub_type", "sub_id", F.lit("").alias("sub_rel"))
 
 
-def gate_on_view(view: DataFrame, scoped: DataFrame) -> DataFrame:
-    """``view & workspace.X``: both sides are opened resource grants; ``scoped`` keeps its permission name."""
+def gate_on_view(view: DataFrame, scoped: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """``view & workspace.X``; ``scoped`` keeps its permission name. Both sides are opened grants, or, with ``members``
+    given, may hold usersets, which are opened once for all objects with the same grants."""
+    if members is not None:
+        on = ["type", "id"]
+        sides = [
+            df.select(*on, p.alias("permission"), *SUBJECT, F.lit(i).alias("_side")).dropna(subset=on)
+            for i, (df, p) in enumerate(((view, F.lit("")), (scoped, F.col("permission"))))
+        ]
+        objects, rows = by_set(sides[0].unionByName(sides[1]), on)
+        opened = cut(open_usersets(rows.withColumnsRenamed(dict(zip(SET, on))), members))
+        gated = gate_on_view(opened.where("_side = 0"), opened.where("_side = 1"))
+        return hand_out(objects, cut(gated.withColumnsRenamed(dict(zip(on, SET))))).select(*on, "permission", "sub_type", "sub_id")
     who = ["type", "id", "sub_type"]
     seen = view.select(*who, "sub_id").distinct()
     asked = scoped.select("type", "id", "permission", "sub_type", "sub_id").distinct()
