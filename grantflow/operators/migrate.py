@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.skew import estimated_bytes
 from ..functions.text import parse_object
 from ..model import TUPLE_COLS
 
@@ -39,15 +40,28 @@ def entity_tuples(
         links.append(F.transform(_values(df, col), _link(relation, "user")))
     for relation, col in subjects.items():
         links.append(F.transform(_values(df, col), _link(relation, None)))
-    rows = df.select(F.col(id_).cast("string").alias("res_id"), F.explode(F.concat(*links)).alias("l")).where("l.text <> ''")
+    # Links repeat only among rows of one entity, so entities are brought together before their links are listed, and
+    # these are made distinct where they are.
+    used = {col.partition("@")[2] or f"{col}_id" for col in refs.values()} | set(users.values()) | set(subjects.values())
+    key = F.col(id_).cast("string")
+    spread = F.when(key.isNull(), F.xxhash64(*sorted(used))).otherwise(F.lit(0)).alias("_spread")
+    df = df.select(key.alias("res_id"), spread, *[F.col(c).alias(c) for c in sorted(used)])
+    df = df.repartition(_tasks(df), "res_id", "_spread")
+    rows = df.select("res_id", "_spread", F.explode(F.concat(*links)).alias("l")).where("l.text <> ''")
     known = F.col("l.type").isNotNull()
     parsed = rows.withColumn("s", F.when(~known, parse_object(F.col("l.text"))))
     sub_type = F.when(known, F.col("l.type")).otherwise(F.col("s.type"))
     return parsed.select(
-        F.lit(res_type).alias("res_type"), "res_id", F.col("l.relation").alias("relation"), sub_type.alias("sub_type"),
+        "_spread", F.lit(res_type).alias("res_type"), "res_id", F.col("l.relation").alias("relation"), sub_type.alias("sub_type"),
         F.when(known | (F.col("s.type") == ""), F.col("l.text")).otherwise(F.col("s.id")).alias("sub_id"),
         F.when(known, "").otherwise(F.col("s.rel")).alias("sub_rel"), (sub_type != "").alias("valid"),
-    ).distinct()
+    ).distinct().drop("_spread")
+
+
+def _tasks(df: DataFrame) -> int:
+    """Partitions of about eight megabytes by the optimizer's estimate, where it has one."""
+    size = estimated_bytes(df)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (8 << 20) if size < 1 << 50 else 0)
 
 
 def _link(relation: str, type_: str | None):
