@@ -133,3 +133,23 @@ def test_migration_shuffles_entities_not_links(spark):
     assert out.columns == [*mi.TUPLE_COLS, "valid"]
     got = out.collect()
     assert len(got) == len(set(got)) == 6 + 3, got
+
+
+def test_bulk_checks_ask_a_set_once(spark, monkeypatch):
+    t = m.tuples_frame(spark, [("folder", "f", "viewer", "group", "g", "member"), ("group", "g", "member", "user", "u", ""), ("folder", "f", "viewer", "user", None, "")]
+                       + [("doc", f"d{i}", "parent", "folder", "f", "") for i in range(5)])
+    rules = [*m.any_of("folder", "view", m.rel("viewer")), *m.any_of("doc", "view", m.arrow("parent", "view"))]
+    ask = [("doc", f"d{i}", "view", "user", u) for i in range(6) for u in ("u", "w", None)]
+    requests = spark.createDataFrame(ask + ask[:1], "res_type string, res_id string, permission string, sub_type string, sub_id string")
+    seen, join = [], ev.spread_join
+
+    def spread_join(big, other, on, **how):
+        if on == [*ev.SET, *ev.HOLDER]:
+            seen.append(big.select(*ev.SET, "sub_type", "sub_id").distinct().count())
+        return join(big, other, on, **how)
+
+    monkeypatch.setattr(ev, "spread_join", spread_join)
+    got = ev.check_bulk(requests, t, rules).collect()
+    assert len(got) == 19 and sum(r.allowed for r in got) == 6
+    assert {(r.res_id, r.sub_id) for r in got if r.allowed} == {(f"d{i}", "u") for i in range(5)}
+    assert seen == [2]
