@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,12 +243,26 @@ STATES = T.StructType(
 )
 
 
+def _pack(pdf: pd.DataFrame) -> bytes:
+    """A frame as one value of a state, so that reading and writing state does not cost a call per row."""
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
+
+
 class AlertTimers(StatefulProcessor):
-    """States of one series from conditions in any order within the watermark.
+    """States of the series of one bucket from conditions in any order within the watermark.
 
-    Conditions wait in a list until the watermark has passed them, which a timer at the earliest one tells. They are
-    then put in order and settled against the last settled one (``us, active, since``). With a step, that is forgotten
-    once the watermark is so far behind it that the next condition would start a new run anyway.
+    Conditions wait until the watermark has passed them, which a timer at the earliest one tells. They are then put in
+    order and settled against the last settled one of their series (``series, us, active, since``). With a step, that
+    is forgotten once the watermark is so far behind it that the next condition would start a new run anyway. Calls of
+    the state are made per bucket, not per series or condition.
     """
 
     def __init__(self, for_us: int, step_us: int | None):
@@ -254,58 +270,74 @@ class AlertTimers(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, active boolean")
-        self.last = handle.getValueState("last", "us bigint, active boolean, since bigint")
+        self.waiting = handle.getListState("waiting", "conditions binary")
+        self.last = handle.getValueState("last", "conditions binary")
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        pdf = pdf[pdf["active"].notna()]
-        if len(pdf):
-            us = [int(u) for u in pdf["us"]]
-            self.waiting.appendList([(u, bool(a)) for u, a in zip(us, pdf["active"])])
-            self._wake(min(us))
+        parts = [pdf.loc[pdf["active"].notna() & pdf["us"].notna(), ["name", "us", "active"]] for pdf in rows]
+        parts = [pdf.set_axis(["series", "us", "active"], axis=1).astype({"us": "int64", "active": "bool"}) for pdf in parts if len(pdf)]
+        if parts:
+            self.waiting.appendList([(_pack(pdf),) for pdf in parts])
+            self._wake(min(int(pdf["us"].min()) for pdf in parts))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        ready: dict[int, bool] = {}
-        for us, active in waiting:
-            if us <= passed:
-                ready[us] = ready.get(us, False) or active
-        rest = [(us, active) for us, active in waiting if us > passed]
-        last = self.last.get() if self.last.exists() else None
-        out = []
-        for us, active in sorted(ready.items()):
-            unbroken = last is not None and last[1] and (self.step_us is None or us - last[0] <= self.step_us)
-            since = (last[2] if unbroken else us) if active else None
-            state = "inactive" if not active else "firing" if us - since >= self.for_us else "pending"
-            out.append((key[0], us, active, since, state))
-            last = (us, active, since)
-        if ready and rest:
-            self.waiting.put(rest)
-        elif ready:
-            self.waiting.clear()
-        if rest:
-            self._wake(min(us for us, _ in rest))
-        if self.step_us is not None and last is not None and not rest and last[0] + self.step_us < passed:
+        none = pd.DataFrame({"series": pd.Series(dtype=object), "us": pd.Series(dtype="int64"), "active": pd.Series(dtype=bool)})
+        waiting = pd.concat([none, *[_unpack(r[0]) for r in (self.waiting.get() if self.waiting.exists() else ())]])
+        last = _unpack(self.last.get()[0]) if self.last.exists() else none.assign(since=none["us"])
+        ready, rest = waiting[waiting["us"] <= passed], waiting[waiting["us"] > passed]
+        if len(ready):
+            ready = ready.groupby(["series", "us"], dropna=False, as_index=False)["active"].any()
+            settled = self._settle(pd.concat([last.assign(new=False), ready.assign(since=ready["us"], new=True)], ignore_index=True))
+            last = settled.drop_duplicates("series", keep="last")
+            if len(rest):
+                self.waiting.put([(_pack(rest),)])
+            else:
+                self.waiting.clear()
+        if len(rest):
+            self._wake(int(rest["us"].min()))
+        if self.step_us is not None and len(last):
+            ended = ~last["series"].isin(rest["series"])
+            kept = last[~(ended & (last["us"] + self.step_us < passed))]
+            if ended[kept.index].any():
+                self._wake(int(kept.loc[ended[kept.index], "us"].min()) + self.step_us + 1000)
+        else:
+            kept = last
+        if len(kept):
+            self.last.update((_pack(kept[["series", "us", "active", "since"]]),))
+        elif self.last.exists():
             self.last.clear()
-        elif ready:
-            self.last.update(last)
-            if self.step_us is not None:
-                self._wake(last[0] + self.step_us + 1000)
-        if out:
-            done = pd.DataFrame(out, columns=["series", "us", "active", "since", "state"])
-            done["ts"] = pd.to_datetime(done.pop("us"), unit="us")
-            done["since"] = pd.to_datetime(done["since"].astype("Int64"), unit="us")
-            yield done[["series", "ts", "active", "since", "state"]]
+        if len(ready):
+            yield self._states(settled[settled["new"]])
+
+    def _settle(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """Conditions in order with the start of their run as ``since``; older ones, at most one a series, have it."""
+        rows = rows.sort_values(["series", "us"], kind="stable", ignore_index=True)
+        series = pd.factorize(rows["series"], use_na_sentinel=False)[0]
+        us, active, new = rows["us"].to_numpy("int64"), rows["active"].to_numpy(bool), rows["new"].to_numpy(bool)
+        unbroken = np.zeros(len(rows), bool)
+        unbroken[1:] = (series[1:] == series[:-1]) & active[1:] & active[:-1] & new[1:]
+        if self.step_us is not None:
+            unbroken[1:] &= us[1:] - us[:-1] <= self.step_us
+        first = np.maximum.accumulate(np.where(unbroken, 0, np.arange(len(rows))))
+        return rows.assign(since=rows["since"].to_numpy("int64")[first])
+
+    def _states(self, rows: pd.DataFrame) -> pd.DataFrame:
+        state = np.where(rows["us"] - rows["since"] >= self.for_us, "firing", "pending")
+        return pd.DataFrame({
+            "series": rows["series"], "ts": pd.to_datetime(rows["us"], unit="us"), "active": rows["active"],
+            "since": pd.to_datetime(rows["since"].where(rows["active"]).astype("Int64"), unit="us"),
+            "state": np.where(rows["active"], state, "inactive"),
+        })
 
 
 def alert_stream(
-    conditions: DataFrame, path: str, checkpoint: str, for_seconds: int, *, step_s: int | None = None, delay: str = "10 minutes"
+    conditions: DataFrame, path: str, checkpoint: str, for_seconds: int, *, step_s: int | None = None, delay: str = "10 minutes",
+    buckets: int = 512,
 ):
     """Start writing the states of a stream of ``(series, ts, active)`` to folders ``batch=<id>`` under ``path``.
 
@@ -313,14 +345,17 @@ def alert_stream(
     later than that, and all up to the start of 1970, where Spark's watermark starts, are dropped by the watermark;
     ``condition_stream`` keeps any order at the cost of a growing table.
     Of two values at one time the active one counts. Rows without a value only move the watermark. State is what the
-    watermark has not passed and, per series, one row until ``step_s`` after its last condition. Needs the RocksDB
+    watermark has not passed and, per series, one row until ``step_s`` after its last condition. It is kept in
+    ``buckets`` of series; a task works on one bucket at a time, and a checkpoint belongs to their number. Needs the RocksDB
     state store (``spark.sql.streaming.stateStore.providerClass``), which is set for the session.
     """
     conditions.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    rows = conditions.withWatermark("ts", delay).select("series", "ts", "active", F.unix_micros("ts").alias("us"))
+    # The key of the state is the number of a bucket of series, as text.
+    bucket = F.pmod(F.xxhash64("series"), F.lit(buckets)).cast("string").alias("series")
+    rows = conditions.withWatermark("ts", delay).select(bucket, F.col("series").alias("name"), "ts", "active", F.unix_micros("ts").alias("us"))
     states = rows.groupBy("series").transformWithStateInPandas(
         AlertTimers(for_seconds * 1_000_000, None if step_s is None else step_s * 1_000_000), STATES, "Append", "EventTime"
     )

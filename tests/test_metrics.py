@@ -237,6 +237,24 @@ def test_alert_stream_equals_the_batch_and_empties_its_state(spark, tmp_path):
         assert state.where("key.series <> ''").count() == 0
 
 
+def test_alert_stream_calls_its_state_by_bucket(spark, tmp_path):
+    """The state of many series lies in few rows, and their states are those of the batch, a series without a name among them."""
+    rows = [(f"s{g}" if g else None, 86_400 + 30 * i + g, (g + i) % 5 > 0) for g in range(40) for i in range(12)]
+    schema = "series string, ts timestamp, active boolean"
+    frame = spark.createDataFrame(rows, "series string, s int, active boolean").select("series", F.timestamp_seconds("s").alias("ts"), "active")
+    for part in (frame, spark.createDataFrame([("", None, None)], schema).withColumn("ts", F.timestamp_seconds(F.lit(86_400 + 180 + 150)))):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    alert_stream(stream, f"{tmp_path}/out", f"{tmp_path}/state", 60, step_s=30, delay="150 seconds", buckets=3).awaitTermination()
+    got = spark.read.schema(STATES).parquet(f"{tmp_path}/out/batch=*")
+    passed = got.agg(F.max("ts")).first()[0]
+    want = al.alert_states(frame, 60, step_s=30).select(*got.columns).where(F.col("ts") <= F.lit(passed))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and 0 < got.count() < len(rows)
+    for name in ("waiting", "last"):
+        state = spark.read.format("statestore").option("stateVarName", name).load(f"{tmp_path}/state")
+        assert 1 <= state.count() <= 3
+
+
 def test_condition_table_has_a_winner(spark, tmp_path):
     table = condition_table(spark, str(tmp_path))
     rows = [("s", 0, False), ("s", 0, True), ("s", 5, False)]
