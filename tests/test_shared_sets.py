@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grantflow import model as m
+from grantflow.functions import sets
 from grantflow.functions.sets import by_set, hand_out
 from grantflow.operators import evaluate as ev
 from grantflow.operators import migrate as mi
 from grantflow.operators import roles as ro
+from grantflow.session import cut_table
 
 GRANTS = "type string, id string, permission string, sub_type string, sub_id string, sub_rel string"
 MEMBERS = "type string, id string, name string, sub_type string, sub_id string"
@@ -93,6 +95,14 @@ def test_hand_out_spreads_large_sets(spark):
     assert got.rdd.getNumPartitions() >= 2 * (370 // 20)
 
 
+def test_cut_tables_are_counted_as_they_are_written(spark):
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    made = cut_table(spark.range(10))
+    assert jobs() == before + 1
+    assert made.rows == 10 == made.df.count() and cut_table(spark.range(10).where("id > 20")).rows == 0
+
+
 def test_lookups_hand_out_sets(spark):
     t = m.tuples_frame(spark, [("folder", "f", "viewer", "group", "g", "member"), ("group", "g", "member", "user", "u", ""), ("group", "g", "member", "user", "v", "")]
                  + [("doc", f"d{i}", "parent", "folder", "f", "") for i in range(5)])
