@@ -95,6 +95,17 @@ def test_hand_out_spreads_large_sets(spark):
     assert got.rdd.getNumPartitions() >= 2 * (370 // 20)
 
 
+def test_hand_out_bounds_partitions_and_packs_rows(spark, monkeypatch):
+    monkeypatch.setattr(sets, "MOST_TASKS", 8)
+    monkeypatch.setattr(sets, "LIST_ROWS", 16)
+    facts = [(f"o{i}", f"s{j}", None if j % 2 else "t") for i in range(30) for j in range(50)] + [(f"p{i}", f"s{j}", "t") for i in range(3) for j in range(2)]
+    df = spark.createDataFrame(facts, "o string, s string, t string")
+    objects, rows = by_set(df, ["o"])
+    got = hand_out(objects, rows, rows_per_task=20)
+    assert got.columns == ["o", "s", "t"] and rows_of(got) == rows_of(df)
+    assert got.rdd.getNumPartitions() <= 8
+
+
 def test_cut_tables_are_counted_as_they_are_written(spark):
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     before = jobs()
