@@ -106,6 +106,17 @@ def test_hand_out_bounds_partitions_and_packs_rows(spark, monkeypatch):
     assert got.rdd.getNumPartitions() <= 8
 
 
+def test_shared_grants_reach_objects_as_plain_ones(spark):
+    grants, members = shared(spark)
+    links = [("host", f"h{i}", "at", "ws", f"w{i % 10}", "") for i in range(20)]
+    links += [("host", "h0", "at", "ws", "w1", ""), ("host", "h0", "at", "ws", "w1", ""), ("host", None, "at", "ws", "w2", ""), ("host", "h5", "at", "ws", None, "")]
+    t = m.tuples_frame(spark, links)
+    want = plainly(ro.resource_grants(t, grants, "host", "at"), members)
+    parts = ev.open_usersets(grants, members, shared=True)
+    assert parts[0].rows.where("sub_id = 'z'").count() < want.where("sub_id = 'z'").count()
+    assert rows_of(ro.resource_grants(t, parts, "host", "at").select(*want.columns)) == rows_of(want)
+
+
 def test_cut_tables_are_counted_as_they_are_written(spark):
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     before = jobs()
