@@ -117,6 +117,15 @@ def test_shared_grants_reach_objects_as_plain_ones(spark):
     assert rows_of(ro.resource_grants(t, parts, "host", "at").select(*want.columns)) == rows_of(want)
 
 
+def test_gate_keeps_sets(spark):
+    grants, members = shared(spark)
+    view, asked = grants.where("permission = 'p'"), ro.contingent(grants, "p", "q", "both", members)
+    want = ro.gate_on_view(view, asked, members)
+    got = ro.gate_on_view(view, ro.contingent(grants, "p", "q", "both", members, shared=True), members)
+    assert got.rows.select("_set").distinct().count() < got.objects.count()
+    assert rows_of(hand_out(got.objects, got.rows).select(*want.columns)) == rows_of(want)
+
+
 def test_cut_tables_are_counted_as_they_are_written(spark):
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     before = jobs()
