@@ -194,3 +194,28 @@ def test_bulk_checks_ask_a_set_once(spark, monkeypatch):
     assert len(got) == 19 and sum(r.allowed for r in got) == 6
     assert {(r.res_id, r.sub_id) for r in got if r.allowed} == {(f"d{i}", "u") for i in range(5)}
     assert seen == [2]
+def test_placed_resources_get_the_sets_of_their_places(spark, monkeypatch):
+    t = m.tuples_frame(spark, [("folder", f, "viewer", "group", f"g{f}", "member") for f in "ab"] + [("group", f"g{f}", "member", "user", f"u{f}", "") for f in "ab"]
+                       + [("doc", f"d{i}", "parent", "folder", "ab"[i % 2], "") for i in range(6)] + [("doc", "d0", "parent", "folder", "b", ""), ("folder", "b", "viewer", "user", "*", "")])
+    rules = [*m.any_of("folder", "view", m.rel("viewer")), *m.any_of("doc", "view", m.arrow("parent", "view"))]
+    columns = "res_type string, res_id string, permission string, sub_type string, sub_id string"
+    requests = spark.createDataFrame([(*o, p, "user", u) for o in [*[("doc", f"d{i}") for i in range(7)], ("folder", "a")] for p in ("view", "none") for u in ("ua", "ub", "x")], columns)
+    seen, kept = [], ev.saturate
+
+    def saturate(*args, **how):
+        found = kept(*args, **how)
+        seen.append(found.where("type = 'doc'").count())
+        return found
+
+    monkeypatch.setattr(ev, "saturate", saturate)
+    got = {(r.res_id, r.sub_id) for r in ev.check_bulk(requests, t, rules).where("allowed").collect()}
+    odd = {(f"d{i}", u) for i in (1, 3, 5) for u in ("ua", "ub", "x")}
+    assert got == odd | {("d0", u) for u in ("ua", "ub", "x")} | {("d2", "ua"), ("d4", "ua"), ("a", "ua")}
+    seen.clear()
+    who = spark.createDataFrame([("user", "ua"), ("user", "ub")], "sub_type string, sub_id string")
+    found = sorted((r.sub_id, r.res_id) for r in ev.lookup_resources(t, rules, "doc", "view", who).collect())
+    every = [(u, d) for u, ds in (("*", "0135"), ("ua", "024"), ("ub", "0135")) for d in (f"d{i}" for i in ds)]
+    assert found == every
+    assert set(seen) == {0}
+
+
