@@ -194,6 +194,8 @@ def test_bulk_checks_ask_a_set_once(spark, monkeypatch):
     assert len(got) == 19 and sum(r.allowed for r in got) == 6
     assert {(r.res_id, r.sub_id) for r in got if r.allowed} == {(f"d{i}", "u") for i in range(5)}
     assert seen == [2]
+
+
 def test_placed_resources_get_the_sets_of_their_places(spark, monkeypatch):
     t = m.tuples_frame(spark, [("folder", f, "viewer", "group", f"g{f}", "member") for f in "ab"] + [("group", f"g{f}", "member", "user", f"u{f}", "") for f in "ab"]
                        + [("doc", f"d{i}", "parent", "folder", "ab"[i % 2], "") for i in range(6)] + [("doc", "d0", "parent", "folder", "b", ""), ("folder", "b", "viewer", "user", "*", "")])
@@ -219,3 +221,34 @@ def test_placed_resources_get_the_sets_of_their_places(spark, monkeypatch):
     assert set(seen) == {0}
 
 
+def test_changes_reach_placed_objects_at_the_end(spark, monkeypatch):
+    t = m.tuples_frame(spark, [("folder", f, "viewer", "group", "g", "member") for f in "ab"] + [("group", "g", "member", "user", u, "") for u in "uv"]
+                       + [("doc", f"d{i}", "parent", "folder", "ab"[i % 2], "") for i in range(6)])
+    rules = [*m.any_of("folder", "view", m.rel("viewer")), *m.any_of("doc", "view", m.arrow("parent", "view"))]
+    targets = {("doc", "view"), ("folder", "view")}
+    removed = m.tuples_frame(spark, [("group", "g", "member", "user", "u", "")])
+    moved_doc = m.tuples_frame(spark, [("doc", "d0", "parent", "folder", "a", "")])
+    second = m.tuples_frame(spark, [("doc", "d0", "parent", "folder", "b", "")])
+    none = removed.where("false")
+    seen, kept = [], ev.saturate
+
+    def saturate(*args, **how):
+        found = kept(*args, **how)
+        seen.append(found.where("type = 'doc'").count())
+        return found
+
+    monkeypatch.setattr(ev, "saturate", saturate)
+
+    def changes(before, removed, added):
+        seen.clear()
+        return sorted((r.res_type, r.res_id, r.sub_id, r.change) for r in ev.access_changes(before, removed, added, rules, targets).collect())
+
+    all_docs = [("doc", f"d{i}") for i in range(6)]
+    assert changes(t, removed, none) == [(*o, "u", "lost") for o in [*all_docs, ("folder", "a"), ("folder", "b")]]
+    assert set(seen) == {0}
+    # A doc that moves, or has two places, is looked at itself.
+    assert changes(t, moved_doc, none) == [("doc", "d0", u, "lost") for u in "uv"]
+    assert changes(t, moved_doc, second) == []
+    two = t.unionByName(second)
+    assert changes(two, t.where("res_type = 'folder' and res_id = 'a'"), none) == [
+        *[("doc", d, u, "lost") for d in ("d2", "d4") for u in "uv"], *[("folder", "a", u, "lost") for u in "uv"]]
